@@ -11,30 +11,43 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Fixed values of the format: white space, month names, maximal path length.
-SPACE = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+ASCII_SPACE = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20"
+SPACE = (
+    ASCII_SPACE
+    + r"\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 MAX_PATH = 500
 
-_WORD = f"[^{SPACE}]++"
 _ZONE = (
     r"(?:Z|[+-](?:[01][0-9]|2[0-3])"
     r"(?:[0-5][0-9](?:[0-5][0-9](?:\.[0-9]{1,6})?)?"
     r"|:[0-5][0-9](?::[0-5][0-9](?:\.[0-9]{1,6})?)?))"
 )
-LINE = (
-    f"^[{SPACE}]*+"
-    f"({_WORD}) {_WORD} {_WORD} "
-    r"\[(0?[1-9]|[12][0-9]|3[01]| [1-9])/([A-Za-z]{3})/((?!0000)[0-9]{4})"
-    r":(2[0-3]|[01]?[0-9]):([0-5]?[0-9]):([0-5]?[0-9])"
-    f"[{SPACE}]++" + _ZONE +
-    r"\] "
-    f'"({_WORD}) ({_WORD}) ([^"]++)" '
-    r"([0-9]{3}) "
-    r"([+-]?[0-9]++|-) "
-    '"([^"]*+)" "([^"]*+)"'
-    f"(?: ([0-9]++)(?![^{SPACE}]))?"
-    r"(?s:.*)$"
-)
+
+
+def _line(space: str) -> str:
+    word = f"[^{space}]++"
+    return (
+        f"^[{space}]*+"
+        f"({word}) {word} {word} "
+        r"\[(0?[1-9]|[12][0-9]|3[01]| [1-9])/([A-Za-z]{3})/((?!0000)[0-9]{4})"
+        r":(2[0-3]|[01]?[0-9]):([0-5]?[0-9]):([0-5]?[0-9])"
+        f"[{space}]++{_ZONE}"
+        r"\] "
+        f'"({word}) ({word}) ([^"]++)" '
+        r"([0-9]{3}) "
+        r"([+-]?[0-9]++|-) "
+        '"([^"]*+)" "([^"]*+)"'
+        f"(?: ([0-9]++)(?![^{space}]))?"
+        r"(?s:.*)$"
+    )
+
+
+LINE = _line(SPACE)
+# A line of ASCII only meets fewer kinds of white space, which makes matching
+# several times faster.
+ASCII_LINE = _line(ASCII_SPACE)
 GROUPS = 15
 
 # A line never holds a line break, so it can separate the captured fields.
@@ -46,8 +59,14 @@ def captured(line: Column) -> Column:
 
     One pass of the expression over the line yields all fields.
     """
-    fields = _BREAK.join(f"${group}" for group in range(1, GROUPS + 1))
-    return F.split(F.regexp_replace(line, F.lit(LINE), F.lit(fields)), _BREAK)
+    ascii_only = F.octet_length(line) == F.char_length(line)
+    fields = F.lit(_BREAK.join(f"${group}" for group in range(1, GROUPS + 1)))
+    return F.split(
+        F.when(ascii_only, F.regexp_replace(line, F.lit(ASCII_LINE), fields)).otherwise(
+            F.regexp_replace(line, F.lit(LINE), fields)
+        ),
+        _BREAK,
+    )
 
 
 def fields_of(parts: Column) -> dict[str, Column]:

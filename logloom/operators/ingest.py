@@ -13,18 +13,14 @@ PARSED = [
 ]
 
 
-def _well_formed(line: Column) -> Column:
-    """An array holding the captured fields of the line, empty for a foreign line."""
-    return F.filter(F.array(captured(line)), lambda parts: F.size(parts) == GROUPS)
-
-
 def _convertible() -> Column:
     return F.col("requested_at").isNotNull() & F.col("response_size").isNotNull()
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Every line with `parse_ok` and its fields, which only count where `parse_ok` holds."""
-    parts = lines.select("value", F.get(_well_formed(F.col("value")), F.lit(0)).alias("parts"))
+    found = lines.select("value", captured(F.col("value")).alias("found"))
+    parts = found.select("value", F.when(F.size("found") == GROUPS, F.col("found")).alias("parts"))
     typed = parts.select(
         "value",
         F.col("parts").isNotNull().alias("matched"),
@@ -35,10 +31,10 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 def parse_access_log(lines: DataFrame) -> DataFrame:
     """The accepted lines of a DataFrame with a `value` column, as typed requests."""
-    # Dropping foreign lines inside `explode` instead of in a filter keeps the
-    # expression from being run twice: a filter would be pushed below the
-    # projection together with a copy of it.
-    parts = lines.select(F.explode(_well_formed(F.col("value"))).alias("parts"))
+    # `explode` keeps the filter on the captured fields above the expression:
+    # pushed below a plain projection, it would take along a second copy of it.
+    found = lines.select(F.explode(F.array(captured(F.col("value")))).alias("parts"))
+    parts = found.where(F.size("parts") == GROUPS)
     typed = parts.select(*[column.alias(name) for name, column in fields_of(F.col("parts")).items()])
     return typed.where(_convertible())
 

@@ -59,12 +59,6 @@ def _numbered(rows: DataFrame, order: list[Column], scratch: Scratch) -> DataFra
     )
 
 
-def with_rank(rows: DataFrame, value: str, name: str) -> DataFrame:
-    """Adds the rank by `value` from the top, NULL first, of few rows."""
-    top_down = Window.orderBy(F.desc_nulls_first(value))
-    return rows.withColumn(name, F.rank().over(top_down).cast("long"))
-
-
 def rank_and_tile(
     rows: DataFrame,
     ranks: dict[str, str],
@@ -82,28 +76,23 @@ def rank_and_tile(
     Few rows are ranked by plain windows; more are numbered slice by slice.
     """
     ties = [F.asc_nulls_last(c) for c in unique]
+    result = rows
     if rows.count() <= single_task_rows:
-        ranked = rows
         for name, value in ranks.items():
-            ranked = with_rank(ranked, value, name)
-        order = Window.orderBy(F.desc_nulls_first(tile_by), *ties)
-        return ranked.withColumn(tile_name, F.ntile(tiles).over(order))
+            top_down = Window.orderBy(F.desc_nulls_first(value))
+            result = result.withColumn(name, F.rank().over(top_down).cast("long"))
+        in_order = Window.orderBy(F.desc_nulls_first(tile_by), *ties)
+        return result.withColumn(tile_name, F.ntile(tiles).over(in_order))
 
-    result = rows
     for name, value in ranks.items():
         numbered = _numbered(result, [F.desc_nulls_first(value), *ties], scratch)
         firsts = numbered.groupBy(F.col(value).alias("ranked_value")).agg(F.min("position").alias(name))
-        if value == tile_by:
-            numbered = numbered.withColumn(tile_name, _tile(F.col("position"), F.col("rows"), tiles))
-        result = numbered.join(firsts, F.col(value).eqNullSafe(F.col("ranked_value"))).drop(
-            "ranked_value", "position", "rows"
-        )
-    if tile_by not in ranks.values():
-        numbered = _numbered(result, [F.desc_nulls_first(tile_by), *ties], scratch)
-        result = numbered.withColumn(tile_name, _tile(F.col("position"), F.col("rows"), tiles)).drop(
-            "position", "rows"
-        )
-    return result
+        result = numbered.drop("position", "rows").join(
+            firsts, F.col(value).eqNullSafe(F.col("ranked_value"))
+        ).drop("ranked_value")
+    numbered = _numbered(result, [F.desc_nulls_first(tile_by), *ties], scratch)
+    tile = _tile(F.col("position"), F.col("rows"), tiles).alias(tile_name)
+    return numbered.select(*rows.columns, *ranks, tile)
 
 
 def _tile(position: Column, rows: Column, tiles: int) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -26,6 +28,12 @@ def _on(staged: DataFrame, days: list[dt.date] | None) -> DataFrame:
     return staged.where(F.col("request_date").isin(days))
 
 
+def _side_by_side(*steps: Callable[[], None]) -> None:
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
 def refresh_hourly(tables: LogTables, days: list[dt.date] | None = None) -> None:
     tables.upsert("agg_hourly_traffic", hourly_traffic(_on(tables.staged(), days)))
 
@@ -40,11 +48,18 @@ def refresh_tables(tables: LogTables, days: list[dt.date] | None = None) -> None
     qualify keep their rows.
     """
     staged = _on(tables.staged(), days)
-    tables.upsert("agg_hourly_traffic", hourly_traffic(staged))
-    tables.upsert("agg_endpoint_stats", endpoint_stats(staged, tables.scratch))
-    tables.upsert("ip_days", ip_days(staged))
-    tables.upsert("agg_ip_anomalies", ip_anomalies(tables.table("ip_days")))
-    tables.upsert("data_quality_report", data_quality_report(staged))
+
+    def anomalies() -> None:
+        tables.upsert("ip_days", ip_days(staged))
+        tables.upsert("agg_ip_anomalies", ip_anomalies(tables.table("ip_days")))
+
+    # Four independent chains of jobs: one fills the executors the others leave idle.
+    _side_by_side(
+        lambda: tables.upsert("agg_hourly_traffic", hourly_traffic(staged)),
+        lambda: tables.upsert("agg_endpoint_stats", endpoint_stats(staged, tables.scratch)),
+        lambda: tables.upsert("data_quality_report", data_quality_report(staged)),
+        anomalies,
+    )
 
 
 def build_tables(
@@ -58,9 +73,12 @@ def build_tables(
     """Load a log, stage what is new, refresh the tables it touches, export the reports."""
     tables = LogTables(spark, root)
     load = tables.load(read_log(spark, log_path), rejects_path=rejects_path)
-    loads = tables.stage_new(spread_days)
+    tables.stage_new(spread_days)
+    # Also catches up on loads whose refresh did not finish.
+    loads = sorted(set(tables.loads("stg_logs")) - set(tables.loads("refreshed")))
     if loads:
         refresh_tables(tables, tables.days_of(loads))
+        tables.mark_refreshed(loads)
     title = report_title or f"Log Analysis Report {dt.date.today()}"
     export_reports({name: tables.table(name) for name in REPORTED}, tables.path("reports"), title)
     tables.scratch.drop()

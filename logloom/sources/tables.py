@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from .. import schemas
-from ..operators.ingest import not_yet_staged, parse_lines, parse_rejects, stage_logs, with_ids
+from ..operators.ingest import parse_lines, parse_rejects, stage_logs, with_ids
 from ..operators.merge import upsert
-from ..scratch import Scratch, path_exists
+from ..scratch import Scratch, hadoop_path, path_exists
 
 # Above this number of days or months a merge rewrites the table as a whole
 # instead of naming the parts to read.
@@ -24,7 +25,7 @@ class Load:
 
 
 class LogTables:
-    """Raw requests by load, staged requests by day, and the keyed aggregate tables.
+    """Raw requests by load, staged requests by load and day, and the keyed aggregate tables.
 
     A folder that does not exist yet reads as an empty table of its schema.
     """
@@ -53,43 +54,43 @@ class LogTables:
 
     # -- loading -----------------------------------------------------------
 
-    def _latest_load(self) -> int | None:
-        return self.raw().agg(F.max("load_id")).first()[0]
+    def loads(self, name: str) -> list[int]:
+        """The finished loads of `raw_logs`, `stg_logs` or `refreshed`, from the folder listing alone."""
+        fs, pattern = hadoop_path(self.spark, f"{self.path(name)}/load_id=*/_SUCCESS")
+        found = fs.globStatus(pattern) or []
+        return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
 
-    def _first_free_id(self, load_id: int) -> int:
-        others = self.raw().where(F.col("load_id") != load_id)
-        latest = others.agg(F.max("load_id")).first()[0]
-        if latest is None:
-            return 1
-        if latest > load_id:
-            raise ValueError(f"load {load_id} comes after load {latest}")
-        # Ids grow from load to load, so only the last load is looked at.
-        return others.where(F.col("load_id") == latest).agg(F.max("id")).first()[0] + 1
-
-    def has_load(self, load_id: int) -> bool:
-        return path_exists(self.spark, f"{self.path('raw_logs')}/load_id={load_id}/_SUCCESS")
+    def _first_free_id(self, earlier: list[int]) -> int:
+        # Ids grow from load to load, so the last load with any rows decides.
+        for load_id in reversed(earlier):
+            last = self.raw().where(F.col("load_id") == load_id).agg(F.max("id")).first()[0]
+            if last is not None:
+                return last + 1
+        return 1
 
     def load(self, lines: DataFrame, load_id: int | None = None, rejects_path: str | None = None) -> Load:
         """Append the accepted lines as one load, in one pass, and count the rejected ones.
 
-        Nothing stops the same file from being loaded twice; an unfinished load
+        Nothing stops the same file from being loaded twice. An unfinished load
         of the same number is replaced. With `rejects_path`, rejected lines are
         kept there, which reads the lines a second time if there are any.
         """
+        earlier = self.loads("raw_logs")
         if load_id is None:
-            load_id = (self._latest_load() or 0) + 1
-        if self.has_load(load_id):
-            raise ValueError(f"load {load_id} is there already")
-        first_id = self._first_free_id(load_id)
+            load_id = earlier[-1] + 1 if earlier else 1
+        elif earlier and load_id <= earlier[-1]:
+            raise ValueError(f"load {load_id} does not come after load {earlier[-1]}")
         counts = Observation()
         parsed = parse_lines(lines).observe(
             counts,
             F.count("*").alias("lines"),
             F.count_if(~F.col("parse_ok")).alias("rejected"),
         )
-        rows = with_ids(parsed.where("parse_ok"), first_id).withColumn("ingested_at", F.current_timestamp())
-        stored = [name for name in schemas.RAW.names if name != "load_id"]
-        rows.select(*stored).write.mode("overwrite").parquet(f"{self.path('raw_logs')}/load_id={load_id}")
+        rows = with_ids(parsed.where("parse_ok"), self._first_free_id(earlier))
+        stored = [F.col(name) for name in schemas.RAW.names if name not in ("load_id", "ingested_at")]
+        rows.select(*stored, F.current_timestamp().alias("ingested_at")).write.mode("overwrite").parquet(
+            f"{self.path('raw_logs')}/load_id={load_id}"
+        )
         seen = counts.get
         if rejects_path and seen["rejected"]:
             parse_rejects(lines).write.mode("append").text(rejects_path)
@@ -97,48 +98,38 @@ class LogTables:
 
     # -- staging -----------------------------------------------------------
 
-    def pending_loads(self) -> tuple[list[int], list[int]]:
-        """The loads with nothing staged yet, and those staged in part.
+    def stage(self, load_id: int, spread_days: bool = False) -> None:
+        """Stage one load, by day. A load is staged as a whole or again.
 
-        Staged ids are a subset of the raw ids and unique, so a load is done
-        when the counts agree. Counting touches only the load number.
+        No shuffle: a log file covers few days, so every task writes few files.
+        Set `spread_days` for a backfill whose files mix many days; rows are
+        then gathered by day, big days over several tasks.
         """
-        counts = (
-            self.raw().groupBy("load_id").agg(F.count("*").alias("raw"))
-            .join(
-                self.staged().groupBy("load_id").agg(F.count("*").alias("staged")),
-                "load_id",
-                "left",
-            )
-            .where(F.col("raw") > F.coalesce("staged", F.lit(0)))
-            .collect()
+        rows = stage_logs(self.raw().where(F.col("load_id") == load_id)).drop("load_id")
+        if spread_days:
+            rows = rows.hint("rebalance", "request_date")
+        rows.write.mode("overwrite").partitionBy("request_date").parquet(
+            f"{self.path('stg_logs')}/load_id={load_id}"
         )
-        untouched = [row["load_id"] for row in counts if row["staged"] is None]
-        partial = [row["load_id"] for row in counts if row["staged"] is not None]
-        return sorted(untouched), sorted(partial)
 
     def stage_new(self, spread_days: bool = False) -> list[int]:
-        """Stage the raw requests not staged yet and return their loads.
+        """Stage the loads not staged yet, and return them.
 
-        Usually no shuffle at all: a log file covers few days, so every task
-        writes few files. Set `spread_days` for a backfill whose files mix many
-        days; rows are then gathered by day, big days over several tasks.
+        Loads are staged whole, so the raw requests still to do are known
+        without comparing ids.
         """
-        untouched, partial = self.pending_loads()
-        if not untouched and not partial:
-            return []
-        raw, staged = self.raw(), self.staged()
-        fresh = raw.where(F.col("load_id").isin(untouched))
-        if partial:
-            among = F.col("load_id").isin(partial)
-            fresh = fresh.unionByName(not_yet_staged(raw.where(among), staged.where(among)))
-        rows = stage_logs(fresh).select(*schemas.STAGED.names)
-        if spread_days:
-            rows = rows.hint("rebalance", "request_date")
-        rows.write.mode("append").partitionBy("request_date").parquet(self.path("stg_logs"))
-        return sorted(untouched + partial)
-
-    def days_of(self, loads: list[int]) -> list:
+        fresh = sorted(set(self.loads("raw_logs")) - set(self.loads("stg_logs")))
+        for load_id in fresh:
+            self.stage(load_id, spread_days)
+        return fresh
+
+    def mark_refreshed(self, loads: list[int]) -> None:
+        """Note that the aggregate tables contain these loads."""
+        for load_id in loads:
+            nothing = self.spark.range(0)
+            nothing.write.mode("overwrite").parquet(f"{self.path('refreshed')}/load_id={load_id}")
+
+    def days_of(self, loads: list[int]) -> list[dt.date]:
         """The days the staged requests of these loads fall on."""
         days = self.staged().where(F.col("load_id").isin(loads)).select("request_date").distinct()
         return sorted(row[0] for row in days.collect() if row[0] is not None)
@@ -168,14 +159,15 @@ class LogTables:
         part = self._part_column(name)
         typed = [F.col(field.name).cast(field.dataType) for field in table.schema.fields]
         source = self.scratch.keep(self._with_part(name, source.select(*typed)), f"{name}-new")
-        touched = source.select(part).distinct().limit(MAX_NAMED_PARTS + 1).collect()
-        target = self._parts(name)
-        if len(touched) <= MAX_NAMED_PARTS:
-            target = target.where(F.col(part).isin([row[0] for row in touched]))
-        # Written aside first: a folder cannot be replaced while it is read.
-        merged = self.scratch.keep(upsert(target, source, table.keys), f"{name}-merged")
+        if path_exists(self.spark, self.path(name)):
+            target = self._parts(name)
+            touched = source.select(part).distinct().limit(MAX_NAMED_PARTS + 1).collect()
+            if len(touched) <= MAX_NAMED_PARTS:
+                target = target.where(F.col(part).isin([row[0] for row in touched]))
+            # Written aside first: a folder cannot be replaced while it is read.
+            source = self.scratch.keep(upsert(target, source, table.keys), f"{name}-merged")
         (
-            merged.hint("rebalance", part)
+            source.hint("rebalance", part)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(part)

@@ -20,11 +20,11 @@ def _run(
 ) -> StreamingQuery:
     def land(batch: DataFrame, batch_id: int) -> None:
         # A batch is one load. Replayed after a failure, a finished load is not
-        # written again and staging adds only what is missing.
+        # written again, and staging it again replaces what is there.
         load_id = batch_id + 1
-        if not tables.has_load(load_id):
+        if load_id not in tables.loads("raw_logs"):
             tables.load(batch, load_id)
-        tables.stage_new()
+        tables.stage(load_id)
         if after:
             after([load_id])
 

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal as D
+
+from conftest import request
+
+from logloom.plans import traffic
+
+
+def at(day, hour=10):
+    return dt.datetime(2024, 3, day, hour)
+
+
+def test_top_endpoints_with_ties_at_the_cut(staged, scratch):
+    hits = {"/a": 5, "/b": 3, "/c": 3, "/d": 1, "/e": 1, None: 1}
+    rows = [request(path=path, status_code=404 if path == "/b" else 200) for path, n in hits.items() for _ in range(n)]
+    found = traffic.top_endpoints_running_total(staged(rows), scratch, top=4).collect()
+    assert [tuple(row) for row in found] == [
+        ("/a", 5, 0, D("100.00"), 1, 14, D("35.71"), 5),
+        ("/b", 3, 3, D("100.00"), 2, 14, D("21.43"), 11),
+        ("/c", 3, 0, D("100.00"), 2, 14, D("21.43"), 11),
+        ("/d", 1, 0, D("100.00"), 4, 14, D("7.14"), 14),
+    ]
+    everything = traffic.top_endpoints_running_total(staged(rows), scratch).collect()
+    assert [row.endpoint for row in everything] == ["/a", "/b", "/c", "/d", "/e", None]
+
+
+def test_hourly_pattern(staged):
+    rows = [request(requested_at=at(day, 3), ip_address=str(day), response_size=day) for day in (1, 2)]
+    rows += [request(requested_at=at(1, 7), status_code=500)] * 3
+    rows += [request(requested_at=at(1, 9), response_size=None)]
+    found = traffic.hourly_pattern(staged(rows)).collect()
+    assert [tuple(row) for row in found] == [
+        (3, 2, 2, 0, D(2), None, None),
+        (7, 3, 1, 3, D(100), 2, D("50.00")),
+        (9, 1, 1, 0, None, 3, D("-66.67")),
+    ]
+
+
+def test_ip_anomaly_reasons(staged, scratch):
+    # 98 quiet clients, one busy with errors, one busiest: p95 is 1, p99 just above 10.
+    rows = [request(ip_address=f"q{i:02}") for i in range(98)]
+    rows += [request(ip_address="busy", status_code=404 if i < 4 else 200, is_bot=i == 0) for i in range(10)]
+    rows += [request(ip_address="busiest") for _ in range(20)]
+    rows += [request(ip_address="failing", status_code=500)]
+    found = traffic.ip_anomaly_explore(staged(rows), scratch).collect()
+    assert [(r.ip_address, r.total_req, r.bot_signals, r.error_rate, r.anomaly_reason) for r in found] == [
+        ("busiest", 20, 0, D("0.00"), "Extremely high volume (>p99)"),
+        ("busy", 10, 1, D("40.00"), "High volume + errors"),
+        ("failing", 1, 0, D("100.00"), "High error rate (>50%)"),
+    ]
+    assert {row.p95_requests for row in found} == {1.0}
+    calm = [request(ip_address=f"q{i:02}") for i in range(98)] + [request(ip_address="busy")] * 10
+    (row,) = traffic.ip_anomaly_explore(staged(calm + [request(ip_address="top")] * 11), scratch, top=9, alarm=1.0).where(
+        "ip_address = 'busy'"
+    ).collect()
+    assert row.anomaly_reason is None
+    assert len(traffic.ip_anomaly_explore(staged(rows), scratch, top=2).collect()) == 2
+
+
+def test_status_trend_rolls_over_rows(staged):
+    rows = []
+    for day in (1, 2, 3, 4, 5, 6, 7, 9):
+        rows += [request(requested_at=at(day), status_code=200)] * 2
+        rows += [request(requested_at=at(day), status_code=503 if day == 1 else 301)]
+    found = traffic.status_trend(staged(rows)).collect()
+    assert tuple(found[0]) == (dt.date(2024, 3, 1), 2, 0, 0, 1, 3, D("33.33"), D("33.33"))
+    assert tuple(found[1])[1:] == (2, 1, 0, 0, 3, D("0.00"), D("16.67"))
+    assert found[6].rolling_7d_error_rate == D("4.76")
+    assert found[7].rolling_7d_error_rate == 0
+
+
+def test_funnel_paths(staged):
+    visits = ["/", "/index.html", "/products", "/products/1?k=2", "/productsale", "/cart", "/checkout", "/cart?x"]
+    rows = [request(path=path) for path in visits] + [request(path="/", status_code=302)]
+    rows += [request(path="/cart", requested_at=at(2))]
+    found = traffic.funnel_paths(staged(rows)).collect()
+    assert tuple(found[0])[1:] == (2, 3, 1, 1, D("150.00"), D("33.33"), D("100.00"))
+    assert tuple(found[1])[1:] == (0, 0, 1, 0, None, None, D("0.00"))
+
+
+def test_client_breakdown(staged):
+    rows = [request(client_type="bot", ip_address=ip, response_size=n) for ip, n in (("1", 1), ("2", 2))]
+    rows += [request(), request(client_type="bot", is_valid=False)]
+    found = traffic.client_breakdown(staged(rows)).collect()
+    assert [tuple(row)[1:] for row in found] == [
+        ("bot", 2, 2, D(2), D("66.67")),
+        ("browser", 1, 1, D(100), D("33.33")),
+    ]
