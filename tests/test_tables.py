@@ -1,0 +1,199 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal as D
+
+import pytest
+
+from logloom import schemas
+from logloom.operators.aggregates import hourly_traffic
+from logloom.operators.merge import upsert
+from logloom.plans import build
+from logloom.scratch import Scratch
+from logloom.sources.tables import LogTables
+
+
+def line(ip="1.1.1.1", day=1, hour=10, minute=0, path="/a", status=200):
+    return f'{ip} - - [{day:02}/Mar/2024:{hour:02}:{minute:02}:00 +0000] "GET {path} HTTP/1.1" {status} 10 "-" "x"'
+
+
+@pytest.fixture
+def lines(spark):
+    def frame(*texts):
+        return spark.createDataFrame([(text,) for text in texts], "value string").repartition(3)
+
+    return frame
+
+
+def test_absent_tables_are_empty(tables):
+    assert tables.raw().schema.names == schemas.RAW.names and tables.raw().count() == 0
+    assert tables.staged().schema.names == schemas.STAGED.names and tables.staged().count() == 0
+    for name, table in schemas.TABLES.items():
+        assert tables.table(name).schema.names == table.schema.names and tables.table(name).count() == 0
+    assert tables.loads("raw_logs") == [] and tables.stage_new() == [] and tables.days_of([1]) == []
+
+
+def test_loads_number_on_and_are_not_idempotent(tables, lines, scratch, spark):
+    rejects = scratch.path("rejects")
+    log = lines(line(), line(minute=1), "garbage")
+    first, second = (tables.load(log, rejects_path=rejects) for _ in range(2))
+    assert (first.load_id, first.accepted, first.rejected) == (1, 2, 1)
+    assert (second.load_id, second.accepted, second.rejected) == (2, 2, 1)
+    ids = {row.load_id: [] for row in tables.raw().collect()}
+    for row in tables.raw().collect():
+        ids[row.load_id].append(row.id)
+        assert row.ingested_at is not None
+    assert sorted(ids) == [1, 2] and max(ids[1]) < min(ids[2])
+    assert len(set(ids[1] + ids[2])) == 4
+    assert [row.value for row in spark.read.text(rejects).collect()] == ["garbage"] * 2
+
+
+def test_a_load_without_rows_leaves_the_ids_going_on(tables, lines):
+    tables.load(lines(line()))
+    assert tables.load(lines("garbage")).accepted == 0
+    assert tables.load(lines(line())).load_id == 3
+    assert tables.raw().select("id").distinct().count() == 2
+    with pytest.raises(ValueError, match="does not come after"):
+        tables.load(lines(line()), load_id=2)
+
+
+def test_staging_is_incremental_and_repeatable(tables, lines):
+    tables.load(lines(line(), line(day=2)))
+    assert tables.stage_new() == [1] and tables.stage_new() == []
+    tables.load(lines(line(day=3)))
+    tables.load(lines("garbage"))
+    assert tables.stage_new(spread_days=True) == [2, 3] and tables.stage_new() == []
+    assert sorted(row.id for row in tables.staged().collect()) == sorted(row.id for row in tables.raw().collect())
+    assert tables.days_of([2, 3]) == [dt.date(2024, 3, 3)]
+    assert tables.days_of([1]) == [dt.date(2024, 3, 1), dt.date(2024, 3, 2)]
+
+
+def test_unfinished_loads_and_stagings_are_replaced(tables, lines):
+    tables.load(lines(line()))
+    tables.stage_new()
+    # What a job that died while committing leaves behind: files, but no mark.
+    half = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+    tables.raw().drop("load_id").write.options(**half).parquet(f"{tables.path('raw_logs')}/load_id=2")
+    assert tables.loads("raw_logs") == [1]
+    assert tables.load(lines(line(day=2), line(day=3))).load_id == 2
+    tables.staged().drop("load_id").write.options(**half).partitionBy("request_date").parquet(
+        f"{tables.path('stg_logs')}/load_id=2"
+    )
+    assert tables.stage_new() == [2]
+    assert sorted(row.id for row in tables.staged().collect()) == sorted(row.id for row in tables.raw().collect())
+    assert tables.staged().count() == 3
+
+
+def test_reading_a_day_reads_only_its_files(tables, lines):
+    tables.load(lines(line(day=1), line(day=2), line(day=3)))
+    tables.stage_new()
+    of_day = tables.staged().where("request_date = date '2024-03-02'").select("endpoint")
+    plan = of_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(request_date" in plan
+    assert "ReadSchema: struct<endpoint:string>" in plan
+
+
+def test_upsert_operator(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    source = spark.createDataFrame([("B", 2), ("C", 3)], "v string, k int")
+    once = upsert(target, source, ["k"])
+    assert sorted(map(tuple, once.collect())) == [(1, "a"), (2, "B"), (3, "C")]
+    assert sorted(upsert(once, source, ["k"]).collect()) == sorted(once.collect())
+
+
+@pytest.mark.parametrize("name", ["agg_hourly_traffic", "ip_days"])
+def test_upserted_tables_keep_other_keys_and_parts(tables, spark, name):
+    schema = schemas.TABLES[name].schema
+
+    def rows(*given):
+        values = []
+        for day, key, total in given:
+            fixed = {"request_date": day, "request_hour": key, "ip_address": str(key), "total_requests": total}
+            values.append(tuple(fixed.get(field, None) for field in schema.names))
+        return spark.createDataFrame(values, schema)
+
+    march, april = dt.date(2024, 3, 31), dt.date(2024, 4, 1)
+    tables.upsert(name, rows((march, 1, 1), (march, 2, 2), (april, 1, 3)))
+    for _ in range(2):
+        tables.upsert(name, rows((march, 2, 20), (march, 3, 30)))
+    key = schemas.TABLES[name].keys[1]
+    found = {(r.request_date, str(r[key])): r.total_requests for r in tables.table(name).collect()}
+    assert found == {(march, "1"): 1, (march, "2"): 20, (march, "3"): 30, (april, "1"): 3}
+    assert tables.table(name).schema.names == schema.names
+
+
+def _log(spark, scratch, *texts):
+    path = scratch.path("log")
+    spark.createDataFrame([(text,) for text in texts], "value string").write.text(path)
+    return path
+
+
+def test_building_twice_doubles_and_scores_75(spark, scratch):
+    root = scratch.path("tables")
+    log = _log(spark, scratch, *[line(minute=m) for m in range(8)], "garbage")
+    for load_id in (1, 2):
+        load = build.build_tables(spark, log, root)
+        assert (load.load_id, load.accepted, load.rejected) == (load_id, 8, 1)
+    tables = LogTables(spark, root, scratch)
+    (quality,) = tables.table("data_quality_report").collect()
+    assert quality.total_raw == 16 and quality.duplicate_count == 8 and quality.quality_score == D("75.00")
+    (hour,) = tables.table("agg_hourly_traffic").collect()
+    assert hour.total_requests == 16 and hour.unique_ips == 1
+    page = "\n".join(row.value for row in spark.read.text(f"{root}/reports/report.html").collect())
+    assert "75.00" in page
+    exported = spark.read.option("header", True).csv(f"{root}/reports/data_quality.csv").collect()
+    assert exported[0].quality_score == "75.00"
+
+
+def test_only_changed_days_are_recomputed_and_old_anomalies_stay(spark, scratch):
+    root = scratch.path("tables")
+    # Ten quiet clients on day 1 and one that fails.
+    first = [line(ip=f"q{i}") for i in range(10)] + [line(ip="failing", status=500)]
+    build.build_tables(spark, _log(spark, scratch, *first), root)
+    tables = LogTables(spark, root, scratch)
+    before = tables.table("agg_endpoint_stats").collect()
+    assert {r.ip_address for r in tables.table("agg_ip_anomalies").collect()} == {"failing"}
+    # Day 2 has a busy client; on day 1 the failing one recovers.
+    second = [line(ip="busy", day=2, minute=m) for m in range(30)]
+    build.build_tables(spark, _log(spark, scratch, *second), root)
+    assert {r.ip_address for r in tables.table("agg_ip_anomalies").collect()} == {"failing", "busy"}
+    after = tables.table("agg_endpoint_stats").where("report_date = date '2024-03-01'").collect()
+    assert after == before
+    third = [line(ip="failing", minute=m) for m in range(1, 4)]
+    build.build_tables(spark, _log(spark, scratch, *third), root)
+    anomalies = {r.ip_address: r for r in tables.table("agg_ip_anomalies").collect()}
+    assert anomalies["failing"].total_requests == 1  # no longer qualifies, keeps its row
+    rows = tables.table("ip_days").where("ip_address = 'failing'").collect()
+    assert [row.total_requests for row in rows] == [4]
+
+
+def test_a_refresh_that_did_not_finish_is_caught_up(spark, scratch, monkeypatch):
+    root = scratch.path("tables")
+    with monkeypatch.context() as patch:
+        patch.setattr(build, "refresh_tables", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            build.build_tables(spark, _log(spark, scratch, line(day=1)), root)
+    build.build_tables(spark, _log(spark, scratch, line(day=2)), root)
+    days = {row.request_date.day for row in LogTables(spark, root, scratch).table("agg_hourly_traffic").collect()}
+    assert days == {1, 2}
+
+
+def test_views(tables, lines, spark):
+    tables.load(lines(line(), line(status=500)))
+    tables.stage_new()
+    tables.upsert("agg_hourly_traffic", hourly_traffic(tables.staged()))
+    tables.register_views()
+    (row,) = spark.sql("SELECT COUNT(*) AS n FROM stg_logs s JOIN raw_logs r ON r.id = s.id").collect()
+    assert row.n == 2
+    (row,) = spark.sql("SELECT error_rate FROM agg_hourly_traffic").collect()
+    assert row.error_rate == D("50.00")
+
+
+def test_scratch_lies_in_the_configured_folder(spark, tmp_path):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert configured is None or Scratch(spark).folder.startswith(configured)
+    own = Scratch(spark, str(tmp_path))
+    kept = own.keep(spark.range(3), "three")
+    assert kept.count() == 3 and f"{tmp_path}/logloom-" in kept.inputFiles()[0]
+    own.drop()
+    assert list(tmp_path.iterdir()) == []
