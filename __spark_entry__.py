@@ -270,7 +270,7 @@ def ip_anomaly_explore(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latency_percentiles(spark: SparkSession, folder: str) -> DataFrame:
-    found = latency.latency_percentiles(extended(spark, folder), AS_OF)
+    found = latency.latency_percentiles(extended(spark, folder), AS_OF, Scratch(spark))
     return comparable(found.withColumns({c: F.round(c, 4) for c in ("p50_ms", "p95_ms", "p99_ms")}))
 
 
@@ -280,7 +280,7 @@ def slowest_endpoints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _streamed_lines(spark: SparkSession, folder: str, scratch: Scratch) -> DataFrame:
-    """The log as three files, read one per batch, the later files first complete hours later."""
+    """The log as three files, read one per batch, each with requests of all days: late data throughout."""
     return stream_log(spark, log_file(log_lines(raw(spark, folder)).repartition(3), scratch), 1)
 
 

@@ -13,13 +13,19 @@ PARSED = [
 ]
 
 
+def _captured_once(lines: DataFrame, *keep: str) -> DataFrame:
+    # `explode` of a single element keeps later filters above the expression:
+    # pushed below a plain projection, they would take along copies of it.
+    return lines.select(*keep, F.explode(F.array(captured(F.col("value")))).alias("found"))
+
+
 def _convertible() -> Column:
     return F.col("requested_at").isNotNull() & F.col("response_size").isNotNull()
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Every line with `parse_ok` and its fields, which only count where `parse_ok` holds."""
-    found = lines.select("value", captured(F.col("value")).alias("found"))
+    found = _captured_once(lines, "value")
     parts = found.select("value", F.when(F.size("found") == GROUPS, F.col("found")).alias("parts"))
     typed = parts.select(
         "value",
@@ -31,10 +37,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 def parse_access_log(lines: DataFrame) -> DataFrame:
     """The accepted lines of a DataFrame with a `value` column, as typed requests."""
-    # `explode` keeps the filter on the captured fields above the expression:
-    # pushed below a plain projection, it would take along a second copy of it.
-    found = lines.select(F.explode(F.array(captured(F.col("value")))).alias("parts"))
-    parts = found.where(F.size("parts") == GROUPS)
+    parts = _captured_once(lines).where(F.size("found") == GROUPS).withColumnRenamed("found", "parts")
     typed = parts.select(*[column.alias(name) for name, column in fields_of(F.col("parts")).items()])
     return typed.where(_convertible())
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,6 +13,7 @@ from ..operators.aggregates import (
     ip_anomalies,
     ip_days,
 )
+from ..scratch import side_by_side
 from ..sources.logs import DEFAULT_LOG, read_log
 from ..sources.tables import MAX_NAMED_PARTS, Load, LogTables
 from .reports import export_reports
@@ -28,12 +27,6 @@ def _on(staged: DataFrame, days: list[dt.date] | None) -> DataFrame:
     return staged.where(F.col("request_date").isin(days))
 
 
-def _side_by_side(*steps: Callable[[], None]) -> None:
-    with ThreadPoolExecutor(len(steps)) as pool:
-        for done in [pool.submit(step) for step in steps]:
-            done.result()
-
-
 def refresh_hourly(tables: LogTables, days: list[dt.date] | None = None) -> None:
     tables.upsert("agg_hourly_traffic", hourly_traffic(_on(tables.staged(), days)))
 
@@ -53,8 +46,7 @@ def refresh_tables(tables: LogTables, days: list[dt.date] | None = None) -> None
         tables.upsert("ip_days", ip_days(staged))
         tables.upsert("agg_ip_anomalies", ip_anomalies(tables.table("ip_days")))
 
-    # Four independent chains of jobs: one fills the executors the others leave idle.
-    _side_by_side(
+    side_by_side(
         lambda: tables.upsert("agg_hourly_traffic", hourly_traffic(staged)),
         lambda: tables.upsert("agg_endpoint_stats", endpoint_stats(staged, tables.scratch)),
         lambda: tables.upsert("data_quality_report", data_quality_report(staged)),

@@ -7,10 +7,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numbers import mean, pct
 from ..operators.aggregates import is_error, valid
+from ..operators.quantiles import percentiles
 from ..operators.ranking import SINGLE_TASK_ROWS, rank_and_tile
 from ..scratch import Scratch
 
@@ -33,42 +34,38 @@ def traffic_rolling_3h(extended: DataFrame, hours: int = 3) -> DataFrame:
     ).orderBy("log_date", "log_hour")
 
 
-def _latency_counts(requests: DataFrame) -> DataFrame:
-    """Requests per endpoint group, method and response time.
+def _latency(requests: DataFrame, scratch: Scratch, min_hits: int, fractions: dict[str, float]) -> DataFrame:
+    """Per endpoint group and method with more than `min_hits` requests: hits, mean, maximum, percentiles.
 
-    Whole milliseconds repeat, so this is what percentiles are taken from: a
-    hot group reaches its task as one row per distinct response time.
+    Whole milliseconds repeat, so requests are counted by response time first,
+    once, and everything is taken from the counts.
     """
-    return requests.groupBy("endpoint_group", "method", "response_ms").agg(F.count("*").alias("n"))
-
-
-def _mean_ms() -> Column:
+    keys = ["endpoint_group", "method"]
+    counts = scratch.keep(requests.groupBy(*keys, "response_ms").agg(F.count("*").alias("n")), "latencies")
     timed = F.when(F.col("response_ms").isNotNull(), F.col("n"))
-    return mean(F.sum(F.col("response_ms").cast("long") * F.col("n")), F.sum(timed))
+    stats = counts.groupBy(*keys).agg(
+        F.sum("n").alias("hits"),
+        mean(F.sum(F.col("response_ms").cast("long") * F.col("n")), F.sum(timed)).alias("avg_ms"),
+        F.max("response_ms").alias("max_ms"),
+    )
+    group = F.struct(*keys)
+    found = percentiles(counts, keys, "response_ms", "n", fractions).select(group.alias("group"), *fractions)
+    return (
+        stats.where(F.col("hits") > min_hits)
+        .withColumn("group", group)
+        .join(found, "group", "left")
+        .select(*keys, "hits", "avg_ms", "max_ms", *fractions)
+    )
 
 
-def latency_percentiles(extended: DataFrame, as_of: dt.date) -> DataFrame:
+def latency_percentiles(extended: DataFrame, as_of: dt.date, scratch: Scratch) -> DataFrame:
     """Per endpoint group and method on one day: requests, mean, p50, p95, p99 and maximal response time."""
     of_day = valid(extended).where(F.col("log_date") == F.lit(as_of))
-    at = F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))
+    fractions = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
     return (
-        _latency_counts(of_day)
-        .groupBy("endpoint_group", "method")
-        .agg(
-            F.sum("n").alias("total_requests"),
-            _mean_ms().alias("avg_ms"),
-            F.percentile("response_ms", at, F.col("n")).alias("at"),
-            F.max("response_ms").alias("max_ms"),
-        )
+        _latency(of_day, scratch, 0, fractions)
         .select(
-            "endpoint_group",
-            "method",
-            "total_requests",
-            "avg_ms",
-            F.col("at")[0].alias("p50_ms"),
-            F.col("at")[1].alias("p95_ms"),
-            F.col("at")[2].alias("p99_ms"),
-            "max_ms",
+            "endpoint_group", "method", F.col("hits").alias("total_requests"), "avg_ms", *fractions, "max_ms"
         )
         .orderBy(F.desc_nulls_first("p95_ms"), "endpoint_group", "method")
     )
@@ -169,16 +166,7 @@ def slowest_endpoints(
     count. Quartile 1 holds the slowest by p95.
     """
     recent = valid(extended).where(F.col("log_date") >= F.lit(as_of - dt.timedelta(days=days)))
-    groups = (
-        _latency_counts(recent)
-        .groupBy("endpoint_group", "method")
-        .agg(
-            F.sum("n").alias("hits"),
-            _mean_ms().alias("avg_ms"),
-            F.percentile("response_ms", F.lit(0.95), F.col("n")).alias("p95_ms"),
-        )
-        .where(F.col("hits") > min_hits)
-    )
+    groups = _latency(recent, scratch, min_hits, {"p95_ms": 0.95}).drop("max_ms")
     return rank_and_tile(
         scratch.keep(groups, "endpoint-groups"),
         ranks={"rank_by_p95": "p95_ms", "rank_by_avg": "avg_ms"},

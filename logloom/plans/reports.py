@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from ..scratch import side_by_side
+
 SECTION_ROWS = 20
 SECTION_TITLES = [
     ("data_quality", "Data Quality Summary"),
@@ -139,9 +141,14 @@ def report_html(sections: DataFrame, columns: dict[str, list[str]], title: str)
 def export_reports(tables: dict[str, DataFrame], folder: str, title: str) -> None:
     """All four reports as CSV folders and the page of their first rows."""
     found = reports(tables)
-    limited = {"data_quality", "suspicious_ips"}
-    for name, rows in found.items():
-        export_csv(rows, f"{folder}/{name}.csv", single_file=name in limited)
     columns = {name: rows.columns for name, rows in found.items()}
-    page = report_html(report_sections(tables), columns, title)
-    page.write.mode("overwrite").text(f"{folder}/report.html")
+    limited = {"data_quality", "suspicious_ips"}
+
+    def table(name: str) -> None:
+        export_csv(found[name], f"{folder}/{name}.csv", single_file=name in limited)
+
+    def page() -> None:
+        lines = report_html(report_sections(tables), columns, title)
+        lines.write.mode("overwrite").text(f"{folder}/report.html")
+
+    side_by_side(*[partial(table, name) for name in found], page)

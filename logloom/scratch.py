@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,13 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+def side_by_side(*steps: Callable[[], None]) -> None:
+    """Run independent chains of jobs at once: one fills the executors the others leave idle."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
 class Scratch:
     """A folder of written tables that outlives lost executors.
 

@@ -30,7 +30,7 @@ def test_traffic_rolling_3h(staged):
     ]
 
 
-def test_latency_percentiles(staged):
+def test_latency_percentiles(staged, scratch):
     random.seed(11)
     times = {("/a", "GET"): [random.randrange(500) for _ in range(301)], ("/b", "POST"): [7, 7, 9, 400]}
     rows = [
@@ -41,7 +41,7 @@ def test_latency_percentiles(staged):
     rows += [request(path="/b", method="POST", response_ms=None, requested_at=at(10))]
     rows += [request(path="/none", response_ms=None, requested_at=at(10))]
     rows += [request(path="/old", requested_at=at(9)), request(path="/bad", requested_at=at(10), is_valid=False)]
-    found = latency.latency_percentiles(staged(rows), TODAY).collect()
+    found = latency.latency_percentiles(staged(rows), TODAY, scratch).collect()
     assert found[0].endpoint_group == "/none" and tuple(found[0])[2:] == (1, None, None, None, None, None)
     assert len(found) == 3
     for row in found[1:]:
