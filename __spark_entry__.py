@@ -270,12 +270,12 @@ def ip_anomaly_explore(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latency_percentiles(spark: SparkSession, folder: str) -> DataFrame:
-    found = latency.latency_percentiles(extended(spark, folder), AS_OF, Scratch(spark))
+    found = latency.latency_percentiles(extended(spark, folder), Scratch(spark), AS_OF)
     return comparable(found.withColumns({c: F.round(c, 4) for c in ("p50_ms", "p95_ms", "p99_ms")}))
 
 
 def slowest_endpoints(spark: SparkSession, folder: str) -> DataFrame:
-    found = latency.slowest_endpoints(extended(spark, folder), AS_OF, Scratch(spark))
+    found = latency.slowest_endpoints(extended(spark, folder), Scratch(spark), AS_OF)
     return comparable(found.withColumn("p95_ms", F.round("p95_ms", 4)))
 
 

@@ -27,8 +27,13 @@ def _on(staged: DataFrame, days: list[dt.date] | None) -> DataFrame:
     return staged.where(F.col("request_date").isin(days))
 
 
-def refresh_hourly(tables: LogTables, days: list[dt.date] | None = None) -> None:
-    tables.upsert("agg_hourly_traffic", hourly_traffic(_on(tables.staged(), days)))
+def refresh_hourly(tables: LogTables, loads: list[int]) -> None:
+    """Recompute the hourly traffic of the hours some loads fall in."""
+    hours = tables.staged(loads).select("request_date", "request_hour").distinct()
+    of_days = _on(tables.staged(), tables.days_of(loads))
+    # One row per hour of the calendar the loads touch.
+    touched = of_days.join(F.broadcast(hours), ["request_date", "request_hour"], "left_semi")
+    tables.upsert("agg_hourly_traffic", hourly_traffic(touched))
 
 
 def refresh_tables(tables: LogTables, days: list[dt.date] | None = None) -> None:

@@ -1,13 +1,10 @@
-"""Latency and surge exploration over the extended staged schema.
-
-`as_of` stands for the current date.
-"""
+"""Latency and surge exploration over the extended staged schema."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import mean, pct
 from ..operators.aggregates import is_error, valid
@@ -19,6 +16,11 @@ from ..scratch import Scratch
 # calendar, after aggregation: their input does not grow with the traffic.
 
 
+def _day(as_of: dt.date | None) -> Column:
+    """The day a query is asked for, by default the current date."""
+    return F.current_date() if as_of is None else F.lit(as_of)
+
+
 def traffic_rolling_3h(extended: DataFrame, hours: int = 3) -> DataFrame:
     """Per day and hour: requests, rolling mean over `hours` rows, change from the row before."""
     by_hour = valid(extended).groupBy("log_date", "log_hour").agg(F.count("*").alias("requests"))
@@ -58,9 +60,9 @@ def _latency(requests: DataFrame, scratch: Scratch, min_hits: int, fractions: di
     )
 
 
-def latency_percentiles(extended: DataFrame, as_of: dt.date, scratch: Scratch) -> DataFrame:
+def latency_percentiles(extended: DataFrame, scratch: Scratch, as_of: dt.date | None = None) -> DataFrame:
     """Per endpoint group and method on one day: requests, mean, p50, p95, p99 and maximal response time."""
-    of_day = valid(extended).where(F.col("log_date") == F.lit(as_of))
+    of_day = valid(extended).where(F.col("log_date") == _day(as_of))
     fractions = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
     return (
         _latency(of_day, scratch, 0, fractions)
@@ -106,7 +108,9 @@ def ip_threat_level(
     )
 
 
-def error_surge(extended: DataFrame, as_of: dt.date, warning: int = 2, anomaly: int = 3) -> DataFrame:
+def error_surge(
+    extended: DataFrame, as_of: dt.date | None = None, warning: int = 2, anomaly: int = 3
+) -> DataFrame:
     """Server error rate of each hour of a day against the same hour on all earlier days.
 
     The hourly rates, their mean and their deviation are rounded before they
@@ -116,13 +120,13 @@ def error_surge(extended: DataFrame, as_of: dt.date, warning: int = 2, anomaly:
     requests = F.count("*")
     by_hour = (
         valid(extended)
-        .where(F.col("log_date") <= F.lit(as_of))
+        .where(F.col("log_date") <= _day(as_of))
         .groupBy("log_date", "log_hour")
         .agg(pct(F.count_if(F.col("status_code") >= 500), requests).alias("current_rate"))
     )
     deviation = F.stddev_samp("current_rate").cast("decimal(20,10)")
     baseline = (
-        by_hour.where(F.col("log_date") < F.lit(as_of))
+        by_hour.where(F.col("log_date") < _day(as_of))
         .groupBy("log_hour")
         .agg(
             F.round(F.avg("current_rate"), 2).alias("baseline_rate"),
@@ -137,7 +141,7 @@ def error_surge(extended: DataFrame, as_of: dt.date, warning: int = 2, anomaly:
     )
     # One row per hour of the day, 24 at most.
     return (
-        by_hour.where(F.col("log_date") == F.lit(as_of))
+        by_hour.where(F.col("log_date") == _day(as_of))
         .join(F.broadcast(baseline), "log_hour")
         .select(
             "log_date",
@@ -154,8 +158,8 @@ def error_surge(extended: DataFrame, as_of: dt.date, warning: int = 2, anomaly:
 
 def slowest_endpoints(
     extended: DataFrame,
-    as_of: dt.date,
     scratch: Scratch,
+    as_of: dt.date | None = None,
     days: int = 7,
     min_hits: int = 50,
     single_task_rows: int = SINGLE_TASK_ROWS,
@@ -165,7 +169,7 @@ def slowest_endpoints(
     Groups of `min_hits` requests or fewer are left out; days after `as_of`
     count. Quartile 1 holds the slowest by p95.
     """
-    recent = valid(extended).where(F.col("log_date") >= F.lit(as_of - dt.timedelta(days=days)))
+    recent = valid(extended).where(F.col("log_date") >= F.date_sub(_day(as_of), days))
     groups = _latency(recent, scratch, min_hits, {"p95_ms": 0.95}).drop("max_ms")
     return rank_and_tile(
         scratch.keep(groups, "endpoint-groups"),

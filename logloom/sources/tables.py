@@ -38,16 +38,21 @@ class LogTables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        if path_exists(self.spark, self.path(name)):
-            return self.spark.read.schema(schema).parquet(self.path(name))
+    def _read(self, name: str, schema: T.StructType, loads: list[int] | None = None) -> DataFrame:
+        folder = self.path(name)
+        parts = [folder] if loads is None else [f"{folder}/load_id={load_id}" for load_id in loads]
+        parts = [part for part in parts if path_exists(self.spark, part)]
+        if parts:
+            return self.spark.read.schema(schema).option("basePath", folder).parquet(*parts)
         return self.spark.createDataFrame([], schema)
 
-    def raw(self) -> DataFrame:
-        return self._read("raw_logs", schemas.RAW).select(*schemas.RAW.names)
+    def raw(self, loads: list[int] | None = None) -> DataFrame:
+        """All raw requests, or those of some loads, whose folders alone are then listed and read."""
+        return self._read("raw_logs", schemas.RAW, loads).select(*schemas.RAW.names)
 
-    def staged(self) -> DataFrame:
-        return self._read("stg_logs", schemas.STAGED).select(*schemas.STAGED.names)
+    def staged(self, loads: list[int] | None = None) -> DataFrame:
+        """All staged requests, or those of some loads, whose folders alone are then listed and read."""
+        return self._read("stg_logs", schemas.STAGED, loads).select(*schemas.STAGED.names)
 
     def table(self, name: str) -> DataFrame:
         return self._parts(name).select(*schemas.TABLES[name].schema.names)
@@ -63,7 +68,7 @@ class LogTables:
     def _first_free_id(self, earlier: list[int]) -> int:
         # Ids grow from load to load, so the last load with any rows decides.
         for load_id in reversed(earlier):
-            last = self.raw().where(F.col("load_id") == load_id).agg(F.max("id")).first()[0]
+            last = self.raw([load_id]).agg(F.max("id")).first()[0]
             if last is not None:
                 return last + 1
         return 1
@@ -105,7 +110,7 @@ class LogTables:
         Set `spread_days` for a backfill whose files mix many days; rows are
         then gathered by day, big days over several tasks.
         """
-        rows = stage_logs(self.raw().where(F.col("load_id") == load_id)).drop("load_id")
+        rows = stage_logs(self.raw([load_id])).drop("load_id")
         if spread_days:
             rows = rows.hint("rebalance", "request_date")
         rows.write.mode("overwrite").partitionBy("request_date").parquet(
@@ -131,7 +136,7 @@ class LogTables:
 
     def days_of(self, loads: list[int]) -> list[dt.date]:
         """The days the staged requests of these loads fall on."""
-        days = self.staged().where(F.col("load_id").isin(loads)).select("request_date").distinct()
+        days = self.staged(loads).select("request_date").distinct()
         return sorted(row[0] for row in days.collect() if row[0] is not None)
 
     # -- keyed tables ------------------------------------------------------

@@ -42,14 +42,8 @@ def stream_ingest(
 def stream_hourly_traffic(
     lines: DataFrame, tables: LogTables, checkpoint: str, until_caught_up: bool = False
 ) -> StreamingQuery:
-    """As `stream_ingest`, and recompute the hourly traffic of the days each batch touches.
+    """As `stream_ingest`, and recompute the hourly traffic of the hours each batch touches.
 
-    Exact at any lateness: a late request changes its day again.
+    Exact at any lateness: a late request changes its hour again.
     """
-    return _run(
-        lines,
-        tables,
-        checkpoint,
-        lambda loads: refresh_hourly(tables, tables.days_of(loads)),
-        until_caught_up,
-    )
+    return _run(lines, tables, checkpoint, lambda loads: refresh_hourly(tables, loads), until_caught_up)

@@ -41,7 +41,7 @@ def test_latency_percentiles(staged, scratch):
     rows += [request(path="/b", method="POST", response_ms=None, requested_at=at(10))]
     rows += [request(path="/none", response_ms=None, requested_at=at(10))]
     rows += [request(path="/old", requested_at=at(9)), request(path="/bad", requested_at=at(10), is_valid=False)]
-    found = latency.latency_percentiles(staged(rows), TODAY, scratch).collect()
+    found = latency.latency_percentiles(staged(rows), scratch, TODAY).collect()
     assert found[0].endpoint_group == "/none" and tuple(found[0])[2:] == (1, None, None, None, None, None)
     assert len(found) == 3
     for row in found[1:]:
@@ -92,7 +92,7 @@ def test_slowest_endpoints(staged, scratch):
     rows = group("/a", 10) + group("/b", 30) + group("/c", 20) + group("/d", 20, day=3) + group("/e", 5, day=12)
     rows += group("/untimed", None) + group("/few", 99, hits=50) + group("/old", 99, day=2)
     for limit in (10**6, 0):
-        found = latency.slowest_endpoints(staged(rows), TODAY, scratch, single_task_rows=limit).collect()
+        found = latency.slowest_endpoints(staged(rows), scratch, TODAY, single_task_rows=limit).collect()
         assert [(r.endpoint_group, r.p95_ms, r.rank_by_p95, r.rank_by_avg, r.quartile) for r in found] == [
             ("/untimed", None, 1, 1, 1),
             ("/b", 30.0, 2, 2, 1),
@@ -112,3 +112,12 @@ def test_funnel_groups(staged):
         (0, 0, 0, 1, None, None, None),
         (2, 1, 1, 1, D("50.00"), D("100.00"), D("100.00")),
     ]
+
+
+def test_the_day_is_today_by_default(staged, scratch):
+    noon = dt.datetime.combine(dt.datetime.now(dt.timezone.utc).date(), dt.time(12))
+    rows = [request(path="/now", requested_at=noon - dt.timedelta(days=n)) for n in (0, 1, 2)] * 60
+    assert latency.latency_percentiles(staged(rows), scratch).first().total_requests == 60
+    assert latency.slowest_endpoints(staged(rows), scratch).first().hits == 180
+    (row,) = latency.error_surge(staged(rows)).collect()
+    assert row.log_date == noon.date() and row.baseline_rate == 0
