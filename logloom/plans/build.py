@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import SparkSession, functions as F
 
 from ..operators.aggregates import (
     data_quality_report,
@@ -15,24 +15,18 @@ from ..operators.aggregates import (
 )
 from ..scratch import side_by_side
 from ..sources.logs import DEFAULT_LOG, read_log
-from ..sources.tables import MAX_NAMED_PARTS, Load, LogTables
+from ..sources.tables import Load, LogTables
 from .reports import export_reports
 
 REPORTED = ["agg_hourly_traffic", "agg_endpoint_stats", "agg_ip_anomalies", "data_quality_report"]
 
 
-def _on(staged: DataFrame, days: list[dt.date] | None) -> DataFrame:
-    if days is None or len(days) > MAX_NAMED_PARTS:
-        return staged
-    return staged.where(F.col("request_date").isin(days))
-
-
 def refresh_hourly(tables: LogTables, loads: list[int]) -> None:
     """Recompute the hourly traffic of the hours some loads fall in."""
-    hours = tables.staged(loads).select("request_date", "request_hour").distinct()
-    of_days = _on(tables.staged(), tables.days_of(loads))
+    days = tables.days_of(loads)
+    hours = tables.staged(days, loads).select("request_date", "request_hour").distinct()
     # One row per hour of the calendar the loads touch.
-    touched = of_days.join(F.broadcast(hours), ["request_date", "request_hour"], "left_semi")
+    touched = tables.staged(days).join(F.broadcast(hours), ["request_date", "request_hour"], "left_semi")
     tables.upsert("agg_hourly_traffic", hourly_traffic(touched))
 
 
@@ -45,7 +39,7 @@ def refresh_tables(tables: LogTables, days: list[dt.date] | None = None) -> None
     table, never from the requests of other days. Anomalies that no longer
     qualify keep their rows.
     """
-    staged = _on(tables.staged(), days)
+    staged = tables.staged(days)
 
     def anomalies() -> None:
         tables.upsert("ip_days", ip_days(staged))
@@ -72,10 +66,11 @@ def build_tables(
     load = tables.load(read_log(spark, log_path), rejects_path=rejects_path)
     tables.stage_new(spread_days)
     # Also catches up on loads whose refresh did not finish.
-    loads = sorted(set(tables.loads("stg_logs")) - set(tables.loads("refreshed")))
+    loads = sorted(set(tables.loads("staged")) - set(tables.loads("refreshed")))
     if loads:
         refresh_tables(tables, tables.days_of(loads))
-        tables.mark_refreshed(loads)
+    for load_id in loads:
+        tables.mark("refreshed", load_id)
     title = report_title or f"Log Analysis Report {dt.date.today()}"
     export_reports({name: tables.table(name) for name in REPORTED}, tables.path("reports"), title)
     tables.scratch.drop()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from ..scratch import side_by_side
 
+# Rows and headings of the page.
 SECTION_ROWS = 20
 SECTION_TITLES = [
     ("data_quality", "Data Quality Summary"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -12,9 +13,11 @@ from ..operators.ingest import parse_lines, parse_rejects, stage_logs, with_ids
 from ..operators.merge import upsert
 from ..scratch import Scratch, hadoop_path, path_exists
 
-# Above this number of days or months a merge rewrites the table as a whole
-# instead of naming the parts to read.
+# Above this number of days or months a table is read as a whole instead of by
+# the folders of its parts.
 MAX_NAMED_PARTS = 5000
+# The folder of staged requests without a date.
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -25,9 +28,11 @@ class Load:
 
 
 class LogTables:
-    """Raw requests by load, staged requests by load and day, and the keyed aggregate tables.
+    """Raw requests by load, staged requests by day and load, and the keyed aggregate tables.
 
-    A folder that does not exist yet reads as an empty table of its schema.
+    A folder that does not exist yet reads as an empty table of its schema. Of
+    a table, only the folders asked for are listed, so that a day or a load
+    costs the same however many there are.
     """
 
     def __init__(self, spark: SparkSession, root: str, scratch: Scratch | None = None):
@@ -38,36 +43,58 @@ class LogTables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _read(self, name: str, schema: T.StructType, loads: list[int] | None = None) -> DataFrame:
+    def _read(self, name: str, schema: T.StructType, parts: list[str] | None = None) -> DataFrame:
         folder = self.path(name)
-        parts = [folder] if loads is None else [f"{folder}/load_id={load_id}" for load_id in loads]
-        parts = [part for part in parts if path_exists(self.spark, part)]
-        if parts:
-            return self.spark.read.schema(schema).option("basePath", folder).parquet(*parts)
+        paths = [folder] if parts is None else [f"{folder}/{part}" for part in parts]
+        paths = [path for path in paths if path_exists(self.spark, path)]
+        if paths:
+            return self.spark.read.schema(schema).option("basePath", folder).parquet(*paths)
         return self.spark.createDataFrame([], schema)
 
     def raw(self, loads: list[int] | None = None) -> DataFrame:
-        """All raw requests, or those of some loads, whose folders alone are then listed and read."""
-        return self._read("raw_logs", schemas.RAW, loads).select(*schemas.RAW.names)
-
-    def staged(self, loads: list[int] | None = None) -> DataFrame:
-        """All staged requests, or those of some loads, whose folders alone are then listed and read."""
-        return self._read("stg_logs", schemas.STAGED, loads).select(*schemas.STAGED.names)
+        """All raw requests, or those of some loads."""
+        parts = None if loads is None else [f"load_id={load_id}" for load_id in loads]
+        return self._read("raw_logs", schemas.RAW, parts).select(*schemas.RAW.names)
+
+    def staged(self, days: list[dt.date] | None = None, loads: list[int] | None = None) -> DataFrame:
+        """All staged requests, or those of some days, or of some loads on these days."""
+        parts = None
+        if days is not None and len(days) <= MAX_NAMED_PARTS:
+            parts = [f"request_date={day}" for day in days]
+            if loads is not None:
+                parts = [f"{part}/load_id={load_id}" for part in parts for load_id in loads]
+        rows = self._read("stg_logs", schemas.STAGED, parts).select(*schemas.STAGED.names)
+        if parts is None and days is not None:
+            rows = rows.where(F.col("request_date").isin(days))
+        return rows if loads is None else rows.where(F.col("load_id").isin(loads))
 
     def table(self, name: str) -> DataFrame:
         return self._parts(name).select(*schemas.TABLES[name].schema.names)
 
     # -- loading -----------------------------------------------------------
 
+    def _listed(self, pattern: str) -> list:
+        fs, hpath = hadoop_path(self.spark, f"{self.root}/{pattern}")
+        return [status.getPath() for status in fs.globStatus(hpath) or []]
+
+    def is_finished(self, name: str, load_id: int) -> bool:
+        return path_exists(self.spark, f"{self.path(name)}/load_id={load_id}/_SUCCESS")
+
+    def _newest_first(self, name: str) -> Iterator[int]:
+        begun = [int(path.getName().split("=")[1]) for path in self._listed(f"{name}/load_id=*")]
+        return (load_id for load_id in sorted(begun, reverse=True) if self.is_finished(name, load_id))
+
     def loads(self, name: str) -> list[int]:
-        """The finished loads of `raw_logs`, `stg_logs` or `refreshed`, from the folder listing alone."""
-        fs, pattern = hadoop_path(self.spark, f"{self.path(name)}/load_id=*/_SUCCESS")
-        found = fs.globStatus(pattern) or []
-        return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
+        """The finished loads of `raw_logs`, `staged` or `refreshed`, from the folder listing alone."""
+        return sorted(self._newest_first(name))
+
+    def mark(self, name: str, load_id: int) -> None:
+        """Note that a load is `staged` or `refreshed`."""
+        self.spark.range(0).write.mode("overwrite").parquet(f"{self.path(name)}/load_id={load_id}")
 
-    def _first_free_id(self, earlier: list[int]) -> int:
+    def _first_free_id(self) -> int:
         # Ids grow from load to load, so the last load with any rows decides.
-        for load_id in reversed(earlier):
+        for load_id in self._newest_first("raw_logs"):
             last = self.raw([load_id]).agg(F.max("id")).first()[0]
             if last is not None:
                 return last + 1
@@ -80,18 +107,18 @@ class LogTables:
         of the same number is replaced. With `rejects_path`, rejected lines are
         kept there, which reads the lines a second time if there are any.
         """
-        earlier = self.loads("raw_logs")
+        latest = next(self._newest_first("raw_logs"), 0)
         if load_id is None:
-            load_id = earlier[-1] + 1 if earlier else 1
-        elif earlier and load_id <= earlier[-1]:
-            raise ValueError(f"load {load_id} does not come after load {earlier[-1]}")
+            load_id = latest + 1
+        elif load_id <= latest:
+            raise ValueError(f"load {load_id} does not come after load {latest}")
         counts = Observation()
         parsed = parse_lines(lines).observe(
             counts,
             F.count("*").alias("lines"),
             F.count_if(~F.col("parse_ok")).alias("rejected"),
         )
-        rows = with_ids(parsed.where("parse_ok"), self._first_free_id(earlier))
+        rows = with_ids(parsed.where("parse_ok"), self._first_free_id())
         stored = [F.col(name) for name in schemas.RAW.names if name not in ("load_id", "ingested_at")]
         rows.select(*stored, F.current_timestamp().alias("ingested_at")).write.mode("overwrite").parquet(
             f"{self.path('raw_logs')}/load_id={load_id}"
@@ -104,18 +131,17 @@ class LogTables:
     # -- staging -----------------------------------------------------------
 
     def stage(self, load_id: int, spread_days: bool = False) -> None:
-        """Stage one load, by day. A load is staged as a whole or again.
+        """Stage one load, by day. Done again, it replaces what it wrote.
 
         No shuffle: a log file covers few days, so every task writes few files.
         Set `spread_days` for a backfill whose files mix many days; rows are
         then gathered by day, big days over several tasks.
         """
-        rows = stage_logs(self.raw([load_id])).drop("load_id")
+        rows = stage_logs(self.raw([load_id]))
         if spread_days:
             rows = rows.hint("rebalance", "request_date")
-        rows.write.mode("overwrite").partitionBy("request_date").parquet(
-            f"{self.path('stg_logs')}/load_id={load_id}"
-        )
+        self._replace_parts("stg_logs", rows, "request_date", "load_id")
+        self.mark("staged", load_id)
 
     def stage_new(self, spread_days: bool = False) -> list[int]:
         """Stage the loads not staged yet, and return them.
@@ -123,21 +149,16 @@ class LogTables:
         Loads are staged whole, so the raw requests still to do are known
         without comparing ids.
         """
-        fresh = sorted(set(self.loads("raw_logs")) - set(self.loads("stg_logs")))
+        fresh = sorted(set(self.loads("raw_logs")) - set(self.loads("staged")))
         for load_id in fresh:
             self.stage(load_id, spread_days)
         return fresh
 
-    def mark_refreshed(self, loads: list[int]) -> None:
-        """Note that the aggregate tables contain these loads."""
-        for load_id in loads:
-            nothing = self.spark.range(0)
-            nothing.write.mode("overwrite").parquet(f"{self.path('refreshed')}/load_id={load_id}")
-
     def days_of(self, loads: list[int]) -> list[dt.date]:
-        """The days the staged requests of these loads fall on."""
-        days = self.staged(loads).select("request_date").distinct()
-        return sorted(row[0] for row in days.collect() if row[0] is not None)
+        """The days the staged requests of these loads fall on, from the folder listing alone."""
+        folders = [p for load_id in loads for p in self._listed(f"stg_logs/request_date=*/load_id={load_id}")]
+        days = {folder.getParent().getName().split("=")[1] for folder in folders}
+        return sorted(dt.date.fromisoformat(day) for day in days - {UNDATED})
 
     # -- keyed tables ------------------------------------------------------
 
@@ -151,12 +172,17 @@ class LogTables:
             return rows
         return rows.withColumn("month", F.trunc(table.date_column, "month"))
 
-    def _parts(self, name: str) -> DataFrame:
+    def _parts(self, name: str, parts: list[str] | None = None) -> DataFrame:
         table = schemas.TABLES[name]
         schema = table.schema
         if table.by_month:
             schema = T.StructType([*schema.fields, T.StructField("month", T.DateType())])
-        return self._read(name, schema)
+        return self._read(name, schema, parts)
+
+    def _replace_parts(self, name: str, rows: DataFrame, *part_columns: str) -> None:
+        """Write the rows in place of the parts they fall in."""
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*part_columns).parquet(self.path(name))
 
     def upsert(self, name: str, source: DataFrame) -> None:
         """Insert or update the source's rows by the table's key, rewriting only the parts they fall in."""
@@ -165,19 +191,12 @@ class LogTables:
         typed = [F.col(field.name).cast(field.dataType) for field in table.schema.fields]
         source = self.scratch.keep(self._with_part(name, source.select(*typed)), f"{name}-new")
         if path_exists(self.spark, self.path(name)):
-            target = self._parts(name)
             touched = source.select(part).distinct().limit(MAX_NAMED_PARTS + 1).collect()
-            if len(touched) <= MAX_NAMED_PARTS:
-                target = target.where(F.col(part).isin([row[0] for row in touched]))
+            named = [f"{part}={row[0]}" for row in touched] if len(touched) <= MAX_NAMED_PARTS else None
             # Written aside first: a folder cannot be replaced while it is read.
-            source = self.scratch.keep(upsert(target, source, table.keys), f"{name}-merged")
-        (
-            source.hint("rebalance", part)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(part)
-            .parquet(self.path(name))
-        )
+            merged = upsert(self._parts(name, named), source, table.keys)
+            source = self.scratch.keep(merged, f"{name}-merged")
+        self._replace_parts(name, source.hint("rebalance", part), part)
 
     def register_views(self) -> None:
         """All layers as temporary views, for SQL."""

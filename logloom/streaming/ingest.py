@@ -22,7 +22,7 @@ def _run(
         # A batch is one load. Replayed after a failure, a finished load is not
         # written again, and staging it again replaces what is there.
         load_id = batch_id + 1
-        if load_id not in tables.loads("raw_logs"):
+        if not tables.is_finished("raw_logs", load_id):
             tables.load(batch, load_id)
         tables.stage(load_id)
         if after:

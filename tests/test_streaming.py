@@ -48,7 +48,7 @@ def test_files_arriving_over_time(spark, tables, scratch, tmp_path):
     _write(log, "a.log", *_some(0), "garbage")
     _write(log, "b.log", *_some(20))
     catch_up()
-    assert tables.loads("raw_logs") == tables.loads("stg_logs") == [1, 2]
+    assert tables.loads("raw_logs") == tables.loads("staged") == [1, 2]
     # A late file changes hours that were done before.
     _write(log, "c.log", *_some(-10, 5))
     catch_up()

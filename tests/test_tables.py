@@ -76,9 +76,9 @@ def test_unfinished_loads_and_stagings_are_replaced(tables, lines):
     tables.raw().drop("load_id").write.options(**half).parquet(f"{tables.path('raw_logs')}/load_id=2")
     assert tables.loads("raw_logs") == [1]
     assert tables.load(lines(line(day=2), line(day=3))).load_id == 2
-    tables.staged().drop("load_id").write.options(**half).partitionBy("request_date").parquet(
-        f"{tables.path('stg_logs')}/load_id=2"
-    )
+    again = tables.raw([2]).selectExpr("id", "to_date(requested_at) AS request_date", "load_id").where("id % 2 = 0")
+    again.write.mode("append").partitionBy("request_date", "load_id").parquet(tables.path("stg_logs"))
+    assert tables.loads("staged") == [1] and tables.staged().count() > 1
     assert tables.stage_new() == [2]
     assert sorted(row.id for row in tables.staged().collect()) == sorted(row.id for row in tables.raw().collect())
     assert tables.staged().count() == 3
@@ -87,6 +87,9 @@ def test_unfinished_loads_and_stagings_are_replaced(tables, lines):
 def test_reading_a_day_reads_only_its_files(tables, lines):
     tables.load(lines(line(day=1), line(day=2), line(day=3)))
     tables.stage_new()
+    one = tables.staged([dt.date(2024, 3, 2)])
+    assert len(one.inputFiles()) == 1 and one.count() == 1
+    assert tables.staged([dt.date(2024, 3, 2)], [7]).count() == 0
     of_day = tables.staged().where("request_date = date '2024-03-02'").select("endpoint")
     plan = of_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(request_date" in plan
