@@ -20,7 +20,7 @@ from logloom.operators import aggregates, ingest  # noqa: E402
 from logloom.plans import latency, reports, traffic  # noqa: E402
 from logloom.plans.build import build_tables  # noqa: E402
 from logloom.scratch import Scratch  # noqa: E402
-from logloom.sources.events import GROUPED_PATHS, log_lines, read_events, requests  # noqa: E402
+from logloom.sources.events import GROUPED_PATHS, LOG_LINE, log_lines, read_events, requests  # noqa: E402
 from logloom.sources.logs import read_log, stream_log  # noqa: E402
 from logloom.sources.tables import LogTables  # noqa: E402
 from logloom.streaming.hourly import windowed_hourly_traffic  # noqa: E402
@@ -71,19 +71,14 @@ def repeated(spark: SparkSession, folder: str) -> DataFrame:
 
 def damaged_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The log with some lines cut, some on a day that does not exist, some with a bad size."""
-    rows = raw(spark, folder)
     value = F.col("value")
-    lines = [
-        log_lines(rows.where("id % 50 <> 7 AND id % 53 <> 5 AND id % 59 <> 3")),
-        log_lines(rows.where("id % 50 = 7")).select(F.replace(value, F.lit(" HTTP/1.1"), F.lit("")).alias("value")),
-        log_lines(rows.where("id % 50 <> 7 AND id % 53 = 5")).select(
-            F.regexp_replace(value, r"\[\d+/\w+/", "[31/Feb/").alias("value")
-        ),
-        log_lines(rows.where("id % 50 <> 7 AND id % 53 <> 5 AND id % 59 = 3")).select(
-            F.regexp_replace(value, r"(\d+) \"-\"", "1_0 \"-\"").alias("value")
-        ),
-    ]
-    return lines[0].unionByName(lines[1]).unionByName(lines[2]).unionByName(lines[3])
+    damaged = (
+        F.when(F.expr("id % 50 = 7"), F.replace(value, F.lit(" HTTP/1.1"), F.lit("")))
+        .when(F.expr("id % 53 = 5"), F.regexp_replace(value, r"\[\d+/\w+/", "[31/Feb/"))
+        .when(F.expr("id % 59 = 3"), F.regexp_replace(value, r'(\d+) "-"', '1_0 "-"'))
+        .otherwise(value)
+    )
+    return raw(spark, folder).selectExpr("id", f"{LOG_LINE} AS value").select(damaged.alias("value"))
 
 
 def log_file(lines: DataFrame, scratch: Scratch) -> str:
@@ -279,25 +274,23 @@ def slowest_endpoints(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(found.withColumn("p95_ms", F.round("p95_ms", 4)))
 
 
-def _streamed_lines(spark: SparkSession, folder: str, scratch: Scratch) -> DataFrame:
-    """The log as three files, read one per batch, each with requests of all days: late data throughout."""
-    return stream_log(spark, log_file(log_lines(raw(spark, folder)).repartition(3), scratch), 1)
+def _streamed(spark: SparkSession, folder: str, stream: Callable) -> LogTables:
+    """The later half of the log arrives first, the earlier half after it: all of that is late."""
+    scratch = Scratch(spark)
+    tables, path, checkpoint = tables_in(scratch), scratch.path("log"), scratch.path("checkpoint")
+    rows = raw(spark, folder)
+    for part in (rows.where(f"NOT ({MIDDLE})"), rows.where(MIDDLE)):
+        log_lines(part).write.mode("append").text(path)
+        stream(stream_log(spark, path), tables, checkpoint, until_caught_up=True).awaitTermination()
+    return tables
 
 
 def streamed_staging(spark: SparkSession, folder: str) -> DataFrame:
-    scratch = Scratch(spark)
-    tables = tables_in(scratch)
-    lines = _streamed_lines(spark, folder, scratch)
-    stream_ingest(lines, tables, scratch.path("checkpoint"), until_caught_up=True).awaitTermination()
-    return comparable(tables.staged(), drop=("id", "load_id"))
+    return comparable(_streamed(spark, folder, stream_ingest).staged(), drop=("id", "load_id"))
 
 
 def streamed_hourly_traffic(spark: SparkSession, folder: str) -> DataFrame:
-    scratch = Scratch(spark)
-    tables = tables_in(scratch)
-    lines = _streamed_lines(spark, folder, scratch)
-    stream_hourly_traffic(lines, tables, scratch.path("checkpoint"), until_caught_up=True).awaitTermination()
-    return comparable(tables.table("agg_hourly_traffic"))
+    return comparable(_streamed(spark, folder, stream_hourly_traffic).table("agg_hourly_traffic"))
 
 
 def streamed_closed_hours(spark: SparkSession, folder: str) -> DataFrame:

@@ -59,10 +59,12 @@ def requests(events: DataFrame, paths: str = SHOP_PATHS) -> DataFrame:
     )
 
 
+# A request as a Combined log line in whole seconds, the response time at its end.
+LOG_LINE = """
+    concat(ip_address, ' - - [', date_format(requested_at, 'dd/MMM/yyyy:HH:mm:ss'), ' +0700] "',
+           method, ' ', path, ' ', protocol, '" ', status_code, ' ', response_size, ' "',
+           coalesce(referer, '-'), '" "', user_agent, '" ', response_ms)"""
+
+
 def log_lines(requests: DataFrame) -> DataFrame:
-    """The requests as Combined log lines with the response time at the end, in whole seconds."""
-    return requests.selectExpr(
-        """concat(ip_address, ' - - [', date_format(requested_at, 'dd/MMM/yyyy:HH:mm:ss'), ' +0700] "',
-                  method, ' ', path, ' ', protocol, '" ', status_code, ' ', response_size, ' "',
-                  coalesce(referer, '-'), '" "', user_agent, '" ', response_ms) AS value"""
-    )
+    return requests.selectExpr(f"{LOG_LINE} AS value")
