@@ -38,16 +38,19 @@ def refresh_tables(tables: LogTables, days: list[dt.date] | None = None) -> None
     as a table: changed days are recounted and the thresholds come from the
     table, never from the requests of other days. Anomalies that no longer
     qualify keep their rows.
+
+    Staged requests only grow in number, so a day counted again has all its
+    endpoints and clients: these two large tables need no merge.
     """
     staged = tables.staged(days)
 
     def anomalies() -> None:
-        tables.upsert("ip_days", ip_days(staged))
+        tables.replace_days("ip_days", ip_days(staged))
         tables.upsert("agg_ip_anomalies", ip_anomalies(tables.table("ip_days")))
 
     side_by_side(
         lambda: tables.upsert("agg_hourly_traffic", hourly_traffic(staged)),
-        lambda: tables.upsert("agg_endpoint_stats", endpoint_stats(staged, tables.scratch)),
+        lambda: tables.replace_days("agg_endpoint_stats", endpoint_stats(staged, tables.scratch)),
         lambda: tables.upsert("data_quality_report", data_quality_report(staged)),
         anomalies,
     )

@@ -184,12 +184,19 @@ class LogTables:
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*part_columns).parquet(self.path(name))
 
+    def _typed(self, name: str, rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(f.name).cast(f.dataType) for f in schemas.TABLES[name].schema.fields])
+
+    def replace_days(self, name: str, rows: DataFrame) -> None:
+        """Write rows that hold every key of the days they fall on, of a table split by day."""
+        part = schemas.TABLES[name].date_column
+        self._replace_parts(name, self._typed(name, rows).hint("rebalance", part), part)
+
     def upsert(self, name: str, source: DataFrame) -> None:
         """Insert or update the source's rows by the table's key, rewriting only the parts they fall in."""
         table = schemas.TABLES[name]
         part = self._part_column(name)
-        typed = [F.col(field.name).cast(field.dataType) for field in table.schema.fields]
-        source = self.scratch.keep(self._with_part(name, source.select(*typed)), f"{name}-new")
+        source = self.scratch.keep(self._with_part(name, self._typed(name, source)), f"{name}-new")
         if path_exists(self.spark, self.path(name)):
             touched = source.select(part).distinct().limit(MAX_NAMED_PARTS + 1).collect()
             named = [f"{part}={row[0]}" for row in touched] if len(touched) <= MAX_NAMED_PARTS else None
