@@ -222,6 +222,14 @@ def report_sections(spark: SparkSession, folder: str) -> DataFrame:
     return sections.select("section", "row_no", F.concat_ws("|", "cells").alias("cells"))
 
 
+def report_page(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the page."""
+    tables = aggregate_tables(spark, folder)
+    columns = {name: rows.columns for name, rows in reports.reports(tables).items()}
+    page = reports.report_html(reports.report_sections(tables), columns, "Report")
+    return page.where(F.col("value").startswith("<tr><td>"))
+
+
 def parameterised_sql(spark: SparkSession, folder: str) -> DataFrame:
     """SQL over the staged requests with bound parameters, exported and read back."""
     staged(spark, folder).createOrReplaceTempView("stg_logs")
@@ -345,6 +353,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "report_suspicious_ips": report_suspicious_ips,
         "export_csv": export_csv,
         "report_sections": report_sections,
+        "report_page": report_page,
         "parameterised_sql": parameterised_sql,
         "exploratory_sql": exploratory_sql,
         "top_endpoints_running_total": top_endpoints_running_total,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 from functools import partial, reduce
 from typing import Any
 
@@ -110,6 +111,10 @@ def report_sections(tables: dict[str, DataFrame], rows: int = SECTION_ROWS) -> D
     return reduce(DataFrame.unionByName, parts)
 
 
+# Sorts after the rows of a section.
+LAST = 1_000_000
+
+
 def report_html(sections: DataFrame, columns: dict[str, list[str]], title: str) -> DataFrame:
     """The sections as the lines of one HTML page, in one `value` column.
 
@@ -127,16 +132,20 @@ def report_html(sections: DataFrame, columns: dict[str, list[str]], title: str)
     body = sections.select(
         "section", "row_no", F.concat(F.lit("<tr>"), cells, F.lit("</tr>")).alias("value")
     )
-    frame = [("", 0, f"<!DOCTYPE html><html><head><meta charset='UTF-8'><title>{title}</title></head><body>")]
+    frame = [("", 0, f"<!DOCTYPE html><html><head><meta charset='UTF-8'><title>{html.escape(title)}</title></head><body>")]
     for name, heading in SECTION_TITLES:
         header = "".join(f"<th>{c}</th>" for c in columns[name])
         frame.append((name, 0, f"<h2>{heading}</h2><table><tr>{header}</tr>"))
-        frame.append((name, 1_000_000, "</table>"))
+        frame.append((name, LAST, "</table>"))
     frame.append(("~", 0, "</body></html>"))
+    lines = spark.createDataFrame(frame, body.schema)
+    empty = lines.where(F.col("row_no") == LAST).join(body, "section", "left_anti")
+    remarks = empty.select("section", "row_no", F.lit("<p>No data</p>").alias("value"))
     position = F.array_position(F.array(*[F.lit(name) for name, _ in SECTION_TITLES]), F.col("section"))
     place = F.when(F.col("section") == "~", len(SECTION_TITLES) + 1).otherwise(position)
-    page = body.unionByName(spark.createDataFrame(frame, body.schema))
-    return page.coalesce(1).sortWithinPartitions(place, "row_no").select("value")
+    page = body.unionByName(lines).unionByName(remarks)
+    # "</table>" comes before "<p>" where both close a section.
+    return page.coalesce(1).sortWithinPartitions(place, "row_no", "value").select("value")
 
 
 def export_reports(tables: dict[str, DataFrame], folder: str, title: str) -> None:

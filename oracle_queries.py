@@ -352,6 +352,9 @@ ORACLES = {
                anomaly_reason
         FROM ({SUSPICIOUS} 50)""",
     "report_sections": SECTIONS,
+    "report_page": f"""
+        SELECT '<tr><td>' || replace(replace(cells, '>', '&gt;'), '|', '</td><td>') || '</td></tr>' AS value
+        FROM ({SECTIONS})""",
     "parameterised_sql": f"""
         SELECT {day("request_date")} AS request_date, endpoint, count(*) AS hits, {ERRORS} AS errors
         FROM ({STAGED}) WHERE is_valid AND method = 'GET' GROUP BY request_date, endpoint""",

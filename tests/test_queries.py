@@ -31,6 +31,9 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", list(contract.queries()))
 def test_query(spark, connection, name):
     found = contract.queries()[name](spark, FOLDER)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
+        assert unwanted not in plan
     ours, theirs, rows = differences(connection, found, contract.oracle_sql()[name])
     assert not ours and not theirs, (ours[:3], theirs[:3])
     assert rows > 0 or name == "slowest_endpoints"

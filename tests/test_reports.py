@@ -99,3 +99,11 @@ def test_page(tables):
     assert [h.split("</h2>")[0][4:] for h in headings] == [title for _, title in reports.SECTION_TITLES]
     assert sum(line.startswith("<tr>") for line in lines) == 64
     assert any("<td>/&quot;&lt;&amp;&gt;</td>" in line for line in lines)
+
+
+def test_page_without_rows(tables):
+    tables = {**tables, "agg_ip_anomalies": tables["agg_ip_anomalies"].where("false")}
+    columns = {name: rows.columns for name, rows in reports.reports(tables).items()}
+    lines = [r.value for r in reports.report_html(reports.report_sections(tables), columns, "Title").collect()]
+    assert lines[-4:] == [lines[-4], "</table>", "<p>No data</p>", "</body></html>"]
+    assert lines[-4].startswith("<h2>Suspicious") and lines.count("<p>No data</p>") == 1
