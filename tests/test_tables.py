@@ -200,3 +200,18 @@ def test_scratch_lies_in_the_configured_folder(spark, tmp_path):
     assert kept.count() == 3 and f"{tmp_path}/logloom-" in kept.inputFiles()[0]
     own.drop()
     assert list(tmp_path.iterdir()) == []
+
+
+def test_an_empty_log(spark, scratch):
+    root = scratch.path("tables")
+    empty = scratch.path("log")
+    spark.createDataFrame([], "value string").write.text(empty)
+    for load_id in (1, 2):
+        load = build.build_tables(spark, empty, root)
+        assert (load.load_id, load.accepted, load.rejected) == (load_id, 0, 0)
+    load = build.build_tables(spark, _log(spark, scratch, line()), root)
+    assert load.accepted == 1
+    assert LogTables(spark, root, scratch).table("agg_hourly_traffic").count() == 1
+    assert LogTables(spark, scratch.path("tables"), scratch).load(
+        spark.createDataFrame([], "value string")
+    ).accepted == 0
