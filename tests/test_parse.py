@@ -159,3 +159,25 @@ def test_files(spark, tmp_path):
     assert read_log(spark, str(tmp_path / "*.gz")).count() == 1
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_log(spark, str(tmp_path / "absent.log"))
+
+
+def test_very_long_lines(parse):
+    long = 500_000
+    lines = [
+        BASE.replace("curl/7", "u" * long),
+        BASE.replace("curl/7", "ü" * long),
+        BASE.replace("/a?x=1", "/" + "é" * long),
+        BASE + " " + "9 " * long,
+        "x" * long,
+        "a " * long,
+        '" "' * long,
+        BASE.replace("curl/7", "u" * long + "\n"),
+    ]
+    rows = parse(*lines)
+    assert [(len(row.user_agent), len(row.path)) for row in rows] == [(long, 6), (long, 6), (6, 500), (6, 6)]
+
+
+def test_absent_lines_are_rejected(spark):
+    frame = spark.createDataFrame([(None,), (BASE,)], "value string")
+    assert parse_access_log(frame).count() == 1
+    assert [row.value for row in parse_rejects(frame).collect()] == [None]
