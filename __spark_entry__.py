@@ -8,6 +8,8 @@ itself returns decimals and dates.
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -314,7 +316,34 @@ def streamed_closed_hours(spark: SparkSession, folder: str) -> DataFrame:
 
 # -- the contract --------------------------------------------------------------
 
+# Where intermediate tables go if the session names no folder (local runs and tests).
+LOCAL_FOLDER = "/tmp/checkpoints/logloom"
 
+
+def _with_folder(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """Let a session without `spark.checkpoint.dir` run `query`; a set folder stays as it is."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *folder: str) -> DataFrame:
+        if not spark.conf.get("spark.checkpoint.dir", None):
+            spark.conf.set("spark.checkpoint.dir", LOCAL_FOLDER)
+        return query(spark, *folder)
+
+    return run
+
+
+def _corpus_parts():
+    """The modules of corpus queries, or None where that subpackage was removed."""
+    if not all((found := importlib.util.find_spec(name)) and found.origin for name in ("logloom.llm", "corpus_pipeline")):
+        return None
+    import corpus_pipeline
+    from logloom.llm import queries as corpus_queries
+
+    return corpus_queries, corpus_pipeline
+
+
+
+@_with_folder
 def entry(spark: SparkSession) -> DataFrame:
     """Log lines parsed, staged and ranked by endpoint and day."""
     lines = log_lines(raw(spark, "/root/testdata/sf0.001"))
@@ -327,6 +356,13 @@ def _over(rows: Callable, query: Callable, *args) -> Callable[[SparkSession, str
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = _log_queries()
+    if parts := _corpus_parts():
+        found |= parts[0].queries() | {"pipeline": parts[1].run}
+    return {name: _with_folder(query) for name, query in found.items()}
+
+
+def _log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "parse_access_log": parse_access_log,
         "parse_rejects": parse_rejects,
@@ -375,4 +411,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    if parts := _corpus_parts():
+        found |= parts[0].oracle_sql()
+        if parts[1].ORACLE_SQL:
+            found["pipeline"] = parts[1].ORACLE_SQL
+    return found

@@ -14,9 +14,12 @@ def main() -> None:
     options.add_argument("log", nargs="*", default=[DEFAULT_LOG], help="files, folders or globs")
     options.add_argument("--root", default="logloom-tables", help="folder of the tables")
     options.add_argument("--rejects", help="folder for lines that do not parse")
+    options.add_argument("--shared", help="folder for intermediate tables, if spark.checkpoint.dir is not set")
     options.add_argument("--spread-days", action="store_true", help="the files mix many days")
     given = options.parse_args()
     spark = build_session()
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", given.shared or f"{given.root.rstrip('/')}/.work")
     load = build_tables(spark, given.log, given.root, rejects_path=given.rejects, spread_days=given.spread_days)
     print(f"load {load.load_id}: {load.accepted} requests, {load.rejected} lines left out")
     spark.stop()

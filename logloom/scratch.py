@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,21 +22,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`; only a local session without it gets a folder of its own."""
+    """The folder all executors reach: `spark.checkpoint.dir`, which the caller must have set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    own = tempfile.mkdtemp(prefix="logloom-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    return configured.rstrip("/")
 
 
 def side_by_side(*steps: Callable[[], None]) -> None:
     """Run independent chains of jobs at once: one fills the executors the others leave idle."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        for done in [pool.submit(step) for step in steps]:
+        for done in [pool.submit(inheritable_thread_target(step)) for step in steps]:
             done.result()
 
 
@@ -55,9 +51,10 @@ class Scratch:
     def path(self, label: str) -> str:
         return f"{self.folder}/{label}-{uuid.uuid4().hex[:12]}"
 
-    def keep(self, df: DataFrame, label: str = "table") -> DataFrame:
+    def keep(self, df: DataFrame, label: str = "table", **options: str) -> DataFrame:
+        """`df` as written files; `options` go to the Parquet writer."""
         path = self.path(label)
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

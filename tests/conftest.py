@@ -16,13 +16,14 @@ from logloom.sources.tables import LogTables  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.ui.showConsoleProgress": "false",
         },
     )
