@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # n
 from logloom.operators import aggregates, ingest  # noqa: E402
 from logloom.plans import latency, reports, traffic  # noqa: E402
 from logloom.plans.build import build_tables  # noqa: E402
-from logloom.scratch import Scratch  # noqa: E402
+from logloom.scratch import Scratch, shared_folder  # noqa: E402
 from logloom.sources.events import GROUPED_PATHS, LOG_LINE, log_lines, read_events, requests  # noqa: E402
 from logloom.sources.logs import read_log, stream_log  # noqa: E402
 from logloom.sources.tables import LogTables  # noqa: E402
@@ -321,12 +321,12 @@ LOCAL_FOLDER = "/tmp/checkpoints/logloom"
 
 
 def _with_folder(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
-    """Let a session without `spark.checkpoint.dir` run `query`; a set folder stays as it is."""
+    """Let a session without a shared folder run `query`; a set folder stays as it is."""
 
     @functools.wraps(query)
     def run(spark: SparkSession, *folder: str) -> DataFrame:
-        if not spark.conf.get("spark.checkpoint.dir", None):
-            spark.conf.set("spark.checkpoint.dir", LOCAL_FOLDER)
+        if not shared_folder(spark):
+            spark.sparkContext.setCheckpointDir(LOCAL_FOLDER)
         return query(spark, *folder)
 
     return run

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from .plans.build import build_tables
+from .scratch import shared_folder
 from .session import build_session
 from .sources.logs import DEFAULT_LOG
 
@@ -18,8 +19,8 @@ def main() -> None:
     options.add_argument("--spread-days", action="store_true", help="the files mix many days")
     given = options.parse_args()
     spark = build_session()
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", given.shared or f"{given.root.rstrip('/')}/.work")
+    if not shared_folder(spark):
+        spark.sparkContext.setCheckpointDir(given.shared or f"{given.root.rstrip('/')}/.work")
     load = build_tables(spark, given.log, given.root, rejects_path=given.rejects, spread_days=given.spread_days)
     print(f"load {load.load_id}: {load.accepted} requests, {load.rejected} lines left out")
     spark.stop()

@@ -21,12 +21,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach: `spark.checkpoint.dir`, which the caller must have set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return configured.rstrip("/")
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder all executors reach: `spark.checkpoint.dir` or else the context's checkpoint folder."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured.rstrip("/") if configured else None
 
 
 def side_by_side(*steps: Callable[[], None]) -> None:
@@ -45,8 +43,11 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
+        folder = folder or shared_folder(spark)
+        if not folder:
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         self.spark = spark
-        self.folder = f"{folder or shared_folder(spark)}/logloom-{uuid.uuid4().hex}"
+        self.folder = f"{folder}/logloom-{uuid.uuid4().hex}"
 
     def path(self, label: str) -> str:
         return f"{self.folder}/{label}-{uuid.uuid4().hex[:12]}"
