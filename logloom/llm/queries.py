@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logloom.llm import minhash
+from logloom.llm import fingerprint, minhash, mixing, quality, sharding, token_files
 from logloom.scratch import Scratch
 
 
@@ -14,12 +14,57 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), Scratch(spark))
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"), Scratch(spark))
+
+
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_rows(_table(spark, folder, "documents"), Scratch(spark))
+
+
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = token_files.write_token_files(
+        _table(spark, folder, "documents"), Scratch(spark), tokenizer_path=_tokenizer("byte_bpe_50k.json"), end_id=2
+    )
+    return token_files.read_token_files(manifest)
+
+
+def op7_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.fingerprints(_table(spark, folder, "documents"), Scratch(spark))
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents with the highest quality label any row gives them."""
+    best = labels.groupBy(F.col("doc_id").alias("l_doc_id")).agg(F.max("quality").alias("quality_label"))
+    return docs.join(best, F.col("doc_id") == F.col("l_doc_id"), "left").drop("l_doc_id")
+
+
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "source", "text")
+    known = labelled(docs, _table(spark, folder, "labels"))
+    return mixing.mix(known, Scratch(spark), quality=mixing.label_weight(F.col("quality_label")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash}
+    return {
+        "op1_minhash": op1_minhash,
+        "op2_quality": op2_quality,
+        "op4_sharding": op4_sharding,
+        "op5_token_files": op5_token_files,
+        "op7_fingerprint": op7_fingerprint,
+        "op9_mixing": op9_mixing,
+    }
 
 
 # Documents linked by exact sets of shingles; ids reached through links of links.
@@ -55,5 +100,45 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN lowest l ON l.x = d.
 """
 
 
+# Targets stopped at three times a source's size; whole rounds, then documents by key up to the rest.
+MIXED = r"""
+WITH quality AS (SELECT doc_id, max(quality) AS label FROM labels GROUP BY doc_id),
+sized AS (
+    SELECT d.doc_id, d.source, coalesce(len(regexp_extract_all(d.text, '[^\x20\x09-\x0D]+')), 0) AS size,
+           CAST('0x' || substr(md5(concat_ws('|', 'mix', CAST(d.doc_id AS VARCHAR), md5(d.text))), 1, 12) AS BIGINT) AS drawn,
+           CASE q.label WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 ELSE 1.0 END::DOUBLE AS weight
+    FROM documents d LEFT JOIN quality q USING (doc_id)),
+keyed AS (SELECT *, -ln((drawn + 0.5::DOUBLE) / 281474976710656.0::DOUBLE) / weight AS key FROM sized),
+sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END::DOUBLE AS weight
+    FROM keyed GROUP BY source),
+limits AS (
+    SELECT *, 3.0::DOUBLE * source_size AS stop,
+           sum(source_size) OVER () - coalesce(sum(3.0::DOUBLE * source_size) OVER before, 0) AS left_words,
+           sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS left_weight
+    FROM sources
+    WINDOW before AS (ORDER BY 3.0::DOUBLE * source_size / weight, weight, source NULLS LAST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+shared AS (
+    SELECT arg_max(left_words, left_weight) AS words, max(left_weight) AS share
+    FROM limits WHERE left_words * weight < stop * left_weight),
+targets AS (
+    SELECT l.source, l.source_size,
+           CASE WHEN left_words * weight >= stop * left_weight THEN stop ELSE words * weight / share END AS target
+    FROM limits l CROSS JOIN shared),
+plan AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS rounds FROM targets),
+reach AS (
+    SELECT k.doc_id, k.size, p.source_size, p.target, p.rounds, p.target - p.rounds * p.source_size AS rest,
+           sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.drawn, k.doc_id, k.size
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS reach
+    FROM keyed k JOIN plan p ON k.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (size * (rounds + CASE WHEN 2 * reach - size <= 2 * rest AND reach - size <= rest THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM reach
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": NEAR_DUPLICATES}
+    return {"op1_minhash": NEAR_DUPLICATES, "op9_mixing": MIXED}
