@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logloom.llm import fingerprint, minhash, mixing, quality, sharding, token_files
+from logloom.llm import embed_dedup, fingerprint, line_dedup, minhash, mixing, quality, sharding, token_files
 from logloom.scratch import Scratch
 
 
@@ -40,6 +40,10 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
+def op6_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embed_dedup.near_vectors(_table(spark, folder, "embeddings"), Scratch(spark))
+
+
 def op7_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.fingerprints(_table(spark, folder, "documents"), Scratch(spark))
 
@@ -56,14 +60,20 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(known, Scratch(spark), quality=mixing.label_weight(F.col("quality_label")))
 
 
+def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.repeated_lines(_table(spark, folder, "documents"), Scratch(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash": op1_minhash,
         "op2_quality": op2_quality,
         "op4_sharding": op4_sharding,
         "op5_token_files": op5_token_files,
+        "op6_embeddings": op6_embeddings,
         "op7_fingerprint": op7_fingerprint,
         "op9_mixing": op9_mixing,
+        "op10_lines": op10_lines,
     }
 
 
@@ -140,5 +150,26 @@ FROM reach
 """
 
 
+# Vectors linked by cosine; ids reached through links of links.
+NEAR_VECTORS = r"""
+WITH RECURSIVE usable AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reached AS (
+    SELECT x, y FROM links
+    UNION
+    SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x),
+lowest AS (SELECT x, min(y) AS y FROM reached GROUP BY x),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, least(e.vec_id, coalesce(l.y, e.vec_id)) AS component_id,
+       e.vec_id <= coalesce(l.y, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN counts c ON c.x = e.vec_id LEFT JOIN lowest l ON l.x = e.vec_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": NEAR_DUPLICATES, "op9_mixing": MIXED}
+    return {"op1_minhash": NEAR_DUPLICATES, "op6_embeddings": NEAR_VECTORS, "op9_mixing": MIXED}
