@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logloom.llm import embed_dedup, fingerprint, line_dedup, minhash, mixing, quality, sharding, token_files
+from logloom.llm import embed_dedup, fingerprint, line_dedup, minhash, mixing, piece_fst, quality, sharding, token_files
 from logloom.scratch import Scratch
 
 
@@ -29,6 +29,10 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"), Scratch(spark))
 
 
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_fst.encode_texts(_table(spark, folder, "documents"), model_path=_tokenizer("piece_bpe_32k.model"))
+
+
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, folder, "documents"), Scratch(spark))
 
@@ -68,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash": op1_minhash,
         "op2_quality": op2_quality,
+        "op3_sentencepiece": op3_sentencepiece,
         "op4_sharding": op4_sharding,
         "op5_token_files": op5_token_files,
         "op6_embeddings": op6_embeddings,
