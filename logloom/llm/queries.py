@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logloom.llm import embed_dedup, fingerprint, line_dedup, minhash, mixing, piece_fst, quality, sharding, token_files
+from logloom.llm import embed_dedup, fingerprint, line_dedup, minhash, mixing, piece_fst, quality, sharding, substring_dedup, token_files
 from logloom.scratch import Scratch
 
 
@@ -52,6 +52,10 @@ def op7_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.fingerprints(_table(spark, folder, "documents"), Scratch(spark))
 
 
+def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_passages(_table(spark, folder, "documents"), Scratch(spark))
+
+
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents with the highest quality label any row gives them."""
     best = labels.groupBy(F.col("doc_id").alias("l_doc_id")).agg(F.max("quality").alias("quality_label"))
@@ -77,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_files": op5_token_files,
         "op6_embeddings": op6_embeddings,
         "op7_fingerprint": op7_fingerprint,
+        "op8_passages": op8_passages,
         "op9_mixing": op9_mixing,
         "op10_lines": op10_lines,
     }
