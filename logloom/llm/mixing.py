@@ -20,11 +20,6 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def label_weight(label: Column) -> Column:
-    """The weight of a document by its quality label: good 2, bad 0.5, unknown 1."""
-    return F.when(label == 1, 2.0).when(label == 0, 0.5).otherwise(1.0)
-
-
 def source_targets(sizes: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), most_times: int = 3) -> DataFrame:
     """(source, source_size, target) from (source, source_size), one row each.
 
@@ -62,35 +57,42 @@ def mix(
     id_column: str = "doc_id",
     text_column: str = "text",
     source_column: str = "source",
-    quality: Column | None = None,
+    labels: DataFrame | None = None,
     seed: str = "mix",
     weights: tuple[int, ...] = (5, 2, 1),
     most_times: int = 3,
     bins: int = 4096,
 ) -> DataFrame:
-    """One row per row of `docs`: id, size, source_size, target, taken.
+    """One row per row of `docs`: id, digest (of the text), size, source_size, target, times, taken.
 
-    `quality` is a positive weight, 1 by default; null, zero, negative or
-    not a number also count as 1. The documents of a source are cut into
-    `bins` by key; words are summed by bin, and only the bin in which the
+    times says how often the mix takes the document, taken is size * times.
+    The quality weight of a document is 2 if the best of its `labels` (id,
+    quality) is 1, 0.5 if that is 0, else 1. The documents of a source are cut
+    into `bins` by key; words are summed by bin, and only the bin in which the
     source's rest ends is sorted, so no task sees a whole source. The document
     that crosses the end is taken if that comes nearer to it. Documents
     without words are never taken. Keys depend on seed, id and text alone:
     reruns agree, equal rows may swap. A null text has size 0; null is a
     source of its own. An empty table gives no rows.
     """
-    drawn = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col(id_column).cast("string"), F.md5(F.col(text_column).cast("binary")))), 1, 12), 16, 10)
-    weight = F.lit(1.0) if quality is None else F.when((quality > 0) & ~F.isnan(quality.cast("double")), quality.cast("double")).otherwise(1.0)
+    text = F.col(text_column)
+    named = F.concat_ws("|", F.lit(seed), F.col(id_column).cast("string"), F.md5(text.cast("binary")))
     sized = docs.select(
         F.col(id_column).alias("id"),
+        F.xxhash64(text).alias("digest"),
         F.col(source_column).alias("source"),
-        word_count(text_column).alias("size"),
-        drawn.cast("long").alias("drawn"),
-        weight.alias("weight"),
+        word_count(text).alias("size"),
+        F.conv(F.substring(F.md5(named), 1, 12), 16, 10).cast("long").alias("drawn"),
     )
+    if labels is None:
+        sized = sized.withColumn("weight", F.lit(1.0))
+    else:
+        best = labels.groupBy(F.col(id_column).alias("l_id")).agg(F.max("quality").alias("label"))
+        weight = F.when(F.col("label") == 1, 2.0).when(F.col("label") == 0, 0.5).otherwise(1.0)
+        sized = sized.join(best, F.col("id") == F.col("l_id"), "left").withColumn("weight", weight)
     # -ln of a uniform number in (0, 1), over the weight
     key = -F.ln((F.col("drawn") + 0.5) / float(1 << 48)) / F.col("weight")
-    sized = sized.select("id", "source", "size", "drawn", key.alias("key"))
+    sized = sized.select("id", "digest", "source", "size", "drawn", key.alias("key"))
     # bins of about equal numbers of documents if all weights are 1
     place = F.floor((1 - F.exp(-F.col("key"))) * bins).cast("int")
     sized = work.keep(sized.withColumn("bin", F.least(place, F.lit(bins - 1))), "sizes")
@@ -119,10 +121,28 @@ def mix(
     close = planned.where("bin = end_bin").withColumn("reach", reach)
     # taken if it ends within the rest, or passes its end by less than half
     close = close.withColumn("more", F.when(2 * F.col("reach") - F.col("size") <= 2 * F.col("rest"), 1).otherwise(0)).drop("reach")
+    times = F.when(F.col("size") > 0, F.col("rounds") + F.col("more")).otherwise(0)
     return clear.unionByName(close).select(
         F.col("id").alias(id_column),
+        "digest",
         "size",
         "source_size",
         F.col("target").cast("double").alias("target"),
-        (F.col("size") * (F.col("rounds") + F.col("more"))).alias("taken"),
+        times.cast("long").alias("times"),
+        (F.col("size") * times).cast("long").alias("taken"),
     )
+
+
+def take_mix(
+    docs: DataFrame, work: Scratch, *, id_column: str = "doc_id", text_column: str = "text", **options
+) -> DataFrame:
+    """The rows of `docs` as often as the mix takes them, with all their columns.
+
+    Rows that agree in id and text are all taken as often as the least taken of them.
+    """
+    mixed = mix(docs, work, id_column=id_column, text_column=text_column, **options)
+    times = mixed.groupBy(F.col(id_column).alias("m_id"), F.col("digest").alias("m_digest")).agg(F.min("times").alias("m_times"))
+    times = work.keep(times.where("m_times > 0"), "times")
+    same = F.col(f"d.`{id_column}`").eqNullSafe(F.col("m_id")) & (F.xxhash64(F.col(f"d.`{text_column}`")) == F.col("m_digest"))
+    taken = docs.alias("d").join(times, same).withColumn("m_copy", F.explode(F.expr("sequence(1L, m_times)")))
+    return taken.select(*[F.col(f"d.`{c}`") for c in docs.columns])

@@ -10,8 +10,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from logloom.scratch import Scratch
-
 CLASSES = {
     "upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "lower": b"abcdefghijklmnopqrstuvwxyz",
@@ -137,59 +135,83 @@ def train(
     return Trees(base, *(np.stack(part) for part in zip(*built)))
 
 
-def score_quality(
+def _held_out(id_column: str):
+    left = F.crc32(F.col(id_column).cast("string").cast("binary")) % 5
+    return F.coalesce(left == 0, F.lit(False))
+
+
+def fit(
     docs: DataFrame,
     labels: DataFrame,
-    work: Scratch,
     *,
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "quality",
-    threshold: float = 0.3,
     train_rows: int = 20_000,
-) -> DataFrame:
-    """One row per row of `docs`: id, held_out, score, predicted.
+) -> Trees:
+    """A model of the labels 0 and 1, learned from `train_rows` labelled rows at most, chosen by a hash of the id.
 
-    Rows whose crc32 of the id as text is divisible by 5 are held out: their
-    labels are not learned from. Of the other labelled rows the model is
-    fitted on `train_rows` at most, chosen by a hash of the id; that is the
-    only bound, every text is described and scored whole. Labels other than 0
-    and 1 and labels without document are left out; a document labelled twice
-    counts twice. Without any label all scores are 0.5. Null and empty texts
-    are scored like others, by statistics of zero. A row without id is never
-    learned from and not held out. Rows of one id are scored one by one. An
-    empty table gives no rows.
+    Rows whose crc32 of the id as text is divisible by 5 are not learned from.
     """
-    left = F.crc32(F.col(id_column).cast("string").cast("binary")) % 5
-    rows = docs.select(
-        F.col(id_column).alias("id"), F.coalesce(left == 0, F.lit(False)).alias("held_out"), F.col(text_column).alias("text")
-    )
-    id_type = rows.schema["id"].dataType.simpleString()
+    label = F.col(label_column).cast("int")
+    given = labels.where(F.col(id_column).isNotNull() & ~_held_out(id_column))
+    given = given.select(F.col(id_column).alias("id"), label.alias("label")).where("label IN (0, 1)")
+    given = given.orderBy(F.xxhash64("id"), "id", "label").limit(train_rows)
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    known = rows.join(F.broadcast(given), "id")  # train_rows rows at most
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [statistics(t.as_py()) for t in batch.column("text")]
-            stats = pa.array(found, pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), stats], names=["id", "held_out", "stats"])
+            stats = pa.array([statistics(t.as_py()) for t in batch.column("text")], pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([stats, batch.column("label"), batch.column("turn")], names=["stats", "label", "turn"])
 
-    described = rows.mapInArrow(describe, f"id {id_type}, held_out boolean, stats array<float>")
-    described = work.keep(described, "statistics", compression="zstd")
+    # rows of one id may be many more than labels
+    known = known.withColumn("turn", F.xxhash64("id", "text")).mapInArrow(describe, "stats array<float>, label int, turn long")
+    sample = known.orderBy("turn", "label").limit(train_rows).toArrow()
+    x = np.array(sample.column("stats").to_pylist(), np.float64).reshape(-1, len(FEATURES))
+    return train(x, sample.column("label").to_numpy().astype(np.float64))
 
-    label = F.col(label_column).cast("int")
-    given = labels.select(F.col(id_column).alias("id"), label.alias("label")).where("label IN (0, 1)")
-    known = described.where("NOT held_out").join(given, "id")
-    sample = known.orderBy(F.xxhash64("id"), "id", "label").limit(train_rows).select("stats", "label").toPandas()
-    x = np.array(sample["stats"].tolist(), np.float32).reshape(-1, len(FEATURES)).astype(np.float64)
-    model = train(x, sample["label"].to_numpy(np.float64))
+
+def _scores(model: Trees, batch: pa.RecordBatch, text_column: str) -> np.ndarray:
+    stats = [statistics(t.as_py()) for t in batch.column(text_column)]
+    return model.score(np.array(stats, np.float64).reshape(-1, len(FEATURES)))
+
+
+def score_quality(
+    docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.3, **options
+) -> DataFrame:
+    """One row per row of `docs`: id, held_out, score, predicted.
+
+    The model is that of `fit`; only its training sample is bounded, every
+    text is described and scored whole. Labels other than 0 and 1 and labels
+    without document are left out; a document labelled twice counts twice.
+    Without any label all scores are 0.5. Null and empty texts are scored like
+    others, by statistics of zero. A row without id is never learned from and
+    not held out. Rows of one id are scored one by one. An empty table gives
+    no rows.
+    """
+    model = fit(docs, labels, id_column=id_column, text_column=text_column, **options)
+    rows = docs.select(F.col(id_column).alias("id"), _held_out(id_column).alias("held_out"), F.col(text_column).alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column("stats").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            found = model.score(x.reshape(-1, len(FEATURES)))
-            arrays = [batch.column("id"), batch.column("held_out"), pa.array(found, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "held_out", "score"])
+            found = pa.array(_scores(model, batch, "text"), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), found], names=["id", "held_out", "score"])
 
-    scored = described.mapInArrow(score, f"id {id_type}, held_out boolean, score double")
+    scored = rows.mapInArrow(score, f"id {rows.schema['id'].dataType.simpleString()}, held_out boolean, score double")
     return scored.select(
         F.col("id").alias(id_column), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.3, **options
+) -> DataFrame:
+    """The rows of `docs` whose score is at least `threshold`, with all their columns."""
+    model = fit(docs, labels, id_column=id_column, text_column=text_column, **options)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(model, batch, text_column) >= threshold))
+
+    return docs.mapInArrow(choose, docs.schema)

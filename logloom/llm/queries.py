@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from logloom.llm import embed_dedup, fingerprint, line_dedup, minhash, mixing, piece_fst, quality, sharding, substring_dedup, token_files
 from logloom.scratch import Scratch
@@ -26,7 +26,7 @@ def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"), Scratch(spark))
+    return quality.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,16 +56,9 @@ def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_passages(_table(spark, folder, "documents"), Scratch(spark))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with the highest quality label any row gives them."""
-    best = labels.groupBy(F.col("doc_id").alias("l_doc_id")).agg(F.max("quality").alias("quality_label"))
-    return docs.join(best, F.col("doc_id") == F.col("l_doc_id"), "left").drop("l_doc_id")
-
-
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "source", "text")
-    known = labelled(docs, _table(spark, folder, "labels"))
-    return mixing.mix(known, Scratch(spark), quality=mixing.label_weight(F.col("quality_label")))
+    mixed = mixing.mix(_table(spark, folder, "documents"), Scratch(spark), labels=_table(spark, folder, "labels"))
+    return mixed.drop("digest", "times")
 
 
 def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
