@@ -356,13 +356,13 @@ def _over(rows: Callable, query: Callable, *args) -> Callable[[SparkSession, str
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = _log_queries()
+    found = log_queries()
     if parts := _corpus_parts():
         found |= parts[0].queries() | {"pipeline": parts[1].run}
     return {name: _with_folder(query) for name, query in found.items()}
 
 
-def _log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "parse_access_log": parse_access_log,
         "parse_rejects": parse_rejects,
