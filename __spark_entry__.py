@@ -22,6 +22,7 @@ from logloom.operators import aggregates, ingest  # noqa: E402
 from logloom.plans import latency, reports, traffic  # noqa: E402
 from logloom.plans.build import build_tables  # noqa: E402
 from logloom.scratch import Scratch, shared_folder  # noqa: E402
+from logloom.session import let_workers_import  # noqa: E402
 from logloom.sources.events import GROUPED_PATHS, LOG_LINE, log_lines, read_events, requests  # noqa: E402
 from logloom.sources.logs import read_log, stream_log  # noqa: E402
 from logloom.sources.tables import LogTables  # noqa: E402
@@ -327,6 +328,7 @@ def _with_folder(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, *folder: str) -> DataFrame:
         if not shared_folder(spark):
             spark.sparkContext.setCheckpointDir(LOCAL_FOLDER)
+        let_workers_import(spark)
         return query(spark, *folder)
 
     return run

@@ -5,9 +5,10 @@ smallest among its neighbours ends a chunk, so chunks depend on the bytes
 around their ends alone and fall into step again after an insertion. Chunks
 are too short to tell: keys are chains of chunks that hold `chain_words` words
 or more, one from each chunk on. Chains whose digest occurs in two documents
-are repeated; where they overlap or touch they form a run. Whether a run lies
-in a passage of `least_words` words is told by its words and those that a
-passage could reach beyond the outer chunk ends without moving them.
+are repeated; where they overlap or touch they form a run. A run of
+`least_words` words is a repeated passage. A passage may reach beyond the run
+in it, but only so far that no other chain is wholly inside; where that could
+make up for the missing words, the texts of both documents are compared.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from logloom.llm.minhash import packed_texts
 from logloom.llm.text_hash import canonical_words, hashed_spans, scrambled, seeds
 from logloom.scratch import Scratch
 
@@ -57,19 +60,21 @@ def chunk_ends(data: np.ndarray) -> np.ndarray:
 
 
 def chains(text: str | None, chain_words: int) -> tuple[np.ndarray, ...]:
-    """Of a text's chains: digest, last chunk; of its chunks: first word, words, words a passage may reach beyond start and end."""
+    """Of a text's chains: digest, last chunk; of its chunks: first word, words, words a passage may reach before and behind."""
     data, starts, _ = canonical_words(text)
     ends = chunk_ends(data)
     if len(ends) < 2:
         return tuple(np.empty(0, t) for t in (np.int64, np.int32, np.int32, np.int32, np.int32, np.int32))
     before = np.searchsorted(starts, ends)  # words that start before each cut
     words = np.diff(before)
-    # a passage cannot start so far before a cut that the cut before it is in step, nor end so far behind
+    count = len(words)
+    last = np.searchsorted(before, before[:-1] + chain_words) - 1  # the chunk in which a chain has words enough
+    # A cut is moved by nothing before the gear's window of its left neighbours, nor behind its right ones:
+    # the cut before a chunk that isn't shared, or that behind the next chain, lies out of step.
     left = before[:-1] - np.searchsorted(starts, np.maximum(np.concatenate([[0], ends[:-2]]) - WINDOW - NEAR, 0))
-    right = np.searchsorted(starts, np.concatenate([ends[2:], [len(data)]]) + NEAR) - before[1:]
+    behind = np.append(np.append(ends, len(data))[np.minimum(last + 1, count + 1)], len(data))[1:]
+    right = np.searchsorted(starts, behind + NEAR) - before[1:]
     digests = hashed_spans(data, ends[:-1], ends[1:])
-    count = len(digests)
-    last = np.searchsorted(before, before[:-1] + chain_words) - 1  # the chunk in which a chain has words enough
     whole = last < count
     # a chain's digest: its chunks' digests, each turned by its place
     rolled = digests.copy()
@@ -77,7 +82,7 @@ def chains(text: str | None, chain_words: int) -> tuple[np.ndarray, ...]:
         longer = np.flatnonzero(whole & (last >= np.arange(count) + step))
         with np.errstate(over="ignore"):
             rolled[longer] = scrambled(rolled[longer] * np.uint64(0x9E3779B97F4A7C15) + digests[longer + step])
-    return rolled[whole].view(np.int64), last[whole].astype(np.int32), *(x.astype(np.int32) for x in (before[:-1], words, left, right))
+    return rolled[whole].view(np.int64), np.minimum(last, count - 1).astype(np.int32), *(x.astype(np.int32) for x in (before[:-1], words, left, right))
 
 
 def repeated_passages(
@@ -94,13 +99,12 @@ def repeated_passages(
     Words are split at ASCII white space, A-Z count as a-z, and the kind and
     amount of white space doesn't matter. start_word (from 0) and n_words give
     the chunks of the run, which lie within the passage; a passage of
-    `least_words` words leaves enough of them if it has some 250 bytes or
-    more. A run may also be reported if the passage is shorter than
-    `least_words` by less than the words in two chunks. other_<id> is the
-    smallest or, for the document that has it, the largest id of a document
-    with the run's first chain; kept says that no document with a smaller id
-    has any of its chains, so that dropping the runs not kept leaves one of
-    each. Text that repeats within one document alone is not reported.
+    `least_words` words has such a run if it has some 250 bytes or more.
+    other_<id> is a document that has the passage, or a part of a long run, as
+    well; kept says that no
+    document with a smaller id has any of its chains, so that dropping the
+    runs not kept leaves one of each. Text that repeats within one document
+    alone is not reported.
 
     Null and empty texts and texts without repeated passages have no rows, as
     have rows without id. Rows of one id are one document. An empty table
@@ -131,33 +135,79 @@ def repeated_passages(
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, out = [], []
-            for number, row in enumerate(batch.select(["lasts", "firsts", "words", "left", "right", "hits", "low"]).to_pylist()):
+            names = ["lasts", "firsts", "words", "left", "right", "hits", "own"]
+            for number, row in enumerate(batch.select(names).to_pylist()):
                 for found in _runs(row, least_words):
                     ids.append(number)
                     out.append(found)
-            columns = list(zip(*out)) or [()] * 4
+            columns = list(zip(*out)) or [()] * 5
             mine = batch.column("id").take(pa.array(ids, pa.int64()))
-            kinds = pa.int64(), pa.int64(), batch.column("id").type, pa.bool_()
+            kinds = pa.int64(), pa.int64(), pa.list_(batch.column("id").type), pa.bool_(), pa.bool_()
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([mine, *arrays], names=["id", "start_word", "n_words", "other", "kept"])
+            yield pa.RecordBatch.from_arrays([mine, *arrays], names=["id", "start_word", "n_words", "others", "kept", "long"])
+
+    made = hits.select("id", "lasts", "firsts", "words", "left", "right", "hits", F.col("id").alias("own"))
+    schema = f"id {id_type}, start_word long, n_words long, others array<{id_type}>, kept boolean, long boolean"
+    made = work.keep(made.mapInArrow(runs, schema), "runs", compression="zstd")
+    sure = made.where("long").withColumn("other", F.array_min("others"))
+    pairs = made.where("NOT long").select("id", "start_word", "n_words", "kept", F.explode("others").alias("other"))
+    checked = _in_long_passages(pairs, rows, work, least_words)
+    checked = checked.groupBy("id", "start_word", "n_words", "kept").agg(F.min("other").alias("other"))
+    columns = [F.col("id").alias(id_column), "start_word", "n_words", F.col("other").alias(f"other_{id_column}"), "kept"]
+    return sure.select(*columns).unionAll(checked.select(*columns))
+
+
+def _in_long_passages(pairs: DataFrame, rows: DataFrame, work: Scratch, least_words: int) -> DataFrame:
+    """Those (id, start_word, n_words, kept, other) where `least_words` words in a row that touch the run are in the other text."""
+    pairs = work.keep(pairs, "short-runs")
+    ids = pairs.selectExpr("explode(array(id, other)) AS id").distinct()
+    texts = work.keep(packed_texts(rows).join(ids, "id", "left_semi"), "packed-texts")
+    ends = pairs.join(texts.withColumnRenamed("text", "text_a"), "id")
+    ends = ends.join(texts.select(F.col("id").alias("other"), F.col("text").alias("text_b")), "other")
+
+    def windows(words: tuple, first: int, last: int) -> np.ndarray:
+        """Hashes of the runs of least_words words that start from `first` to `last`."""
+        data, starts, stops = words
+        first, last = max(0, first), min(last, len(starts) - least_words)
+        if last < first:
+            return np.empty(0, np.uint64)
+        return hashed_spans(data, starts[first : last + 1], stops[first + least_words - 1 : last + least_words])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grow = zstandard.ZstdDecompressor()
+
+        def text(packed: pa.Scalar) -> tuple:
+            return canonical_words(grow.decompress(packed.as_py()).decode("utf-8"))
+
+        last: tuple = (None, None)
+        for batch in batches:
+            found = []
+            for row in range(batch.num_rows):
+                first, count, mine, theirs = (batch.column(c)[row] for c in ("start_word", "n_words", "text_a", "text_b"))
+                if last[0] is None or theirs.as_py() != last[0]:
+                    whole = text(theirs)
+                    last = theirs.as_py(), np.unique(windows(whole, 0, len(whole[1])))
+                start = first.as_py()
+                found.append(bool(np.isin(windows(text(mine), start - least_words + 1, start + count.as_py()), last[1]).any()))
+            names = ["id", "start_word", "n_words", "kept", "other"]
+            yield batch.select(names).filter(pa.array(found, pa.bool_()))
 
-    made = hits.select("id", "lasts", "firsts", "words", "left", "right", "hits", F.col("id").alias("low"))
-    made = made.mapInArrow(runs, f"id {id_type}, start_word long, n_words long, other {id_type}, kept boolean")
-    return made.withColumnRenamed("id", id_column).withColumnRenamed("other", f"other_{id_column}")
+    return ends.select("id", "start_word", "n_words", "kept", "other", "text_a", "text_b").mapInArrow(compare, pairs.schema).distinct()
 
 
 def _runs(row: dict, least_words: int) -> Iterator[tuple]:
-    """(first word, words, other document, kept) of the runs of one document that lie in long enough passages."""
+    """(first word, words, other documents, kept, long) of the runs of one document that may lie in long enough passages."""
     hits = sorted((hit["place"], hit["other"]) for hit in row["hits"])
     at = 0
     while at < len(hits):
-        first, other = hits[at]
-        last, kept = row["lasts"][first], other > row["low"]
-        while at + 1 < len(hits) and hits[at + 1][0] <= last + 1:
+        first, others, kept = hits[at][0], set(), True
+        last = first
+        while at < len(hits) and hits[at][0] <= last + 1:
+            place, other = hits[at]
+            last = max(last, row["lasts"][place])
+            others.add(other)
+            kept = kept and other > row["own"]
             at += 1
-            last = max(last, row["lasts"][hits[at][0]])
-            kept = kept and hits[at][1] > row["low"]
-        at += 1
         words = row["firsts"][last] + row["words"][last] - row["firsts"][first]
         if row["left"][first] + words + row["right"][last] >= least_words:
-            yield row["firsts"][first], words, other, kept
+            yield row["firsts"][first], words, sorted(others), kept, words >= least_words

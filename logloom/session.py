@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 # What the plans rely on. Partition counts are left to the adaptive planner:
@@ -34,3 +36,12 @@ def build_session(app: str = "logloom", master: str | None = None, **settings: s
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """On a local master, let Python workers find this package wherever they are started; a cluster gets it with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if spark.sparkContext.master.startswith("local") and root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))

@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from corpus import smallest_reachable
+from pyspark.sql import functions as F
+
+from logloom.llm.linking import components, link_buckets
+
+
+@pytest.mark.parametrize("shape", ["random", "path", "star", "cycle", "two ends"])
+def test_components(spark, scratch, shape):
+    rng = random.Random(5)
+    links = {
+        "random": [(rng.randrange(400), rng.randrange(400)) for _ in range(250)],
+        "path": [(i, i + 1) for i in rng.sample(range(60), 60)],
+        "star": [(500, i) for i in range(300)],
+        "cycle": [(i, (i + 1) % 41) for i in range(41)],
+        "two ends": [(1, 9), (9, 2), (2, 8), (8, 3), (7, 7), (None, 4)],
+    }[shape]
+    found = components(spark.createDataFrame(links, "a long, b long"), scratch).collect()
+    real = [(a, b) for a, b in links if a is not None and a != b]
+    expected = smallest_reachable({n for link in real for n in link}, real)
+    assert {(r.id, r.component) for r in found} == set(expected.items())
+    assert len(found) == len(expected)
+
+
+def test_no_links(spark, scratch):
+    assert components(spark.createDataFrame([], "a long, b long"), scratch).count() == 0
+
+
+@pytest.mark.parametrize("hot", [0, 300])
+def test_buckets_give_the_groups_of_all_pairs(spark, scratch, hot):
+    """Records are points on a line; points close by are linked. One bucket may hold many that are not."""
+    rng = random.Random(hot)
+    points = {i: rng.random() * 60 for i in range(400)}
+    rows = [(key, i) for i in points for key in {f"k{rng.randrange(25)}" for _ in range(3)} | ({"hot"} if i < hot else set())]
+    records = spark.createDataFrame([(i, p) for i, p in points.items()], "id long, point double")
+    seen = []
+
+    def near(left, right):
+        return F.abs(F.col(f"{left}.point") - F.col(f"{right}.point")) < 0.5
+
+    def verifier(ids):
+        def verify(pairs):
+            kept = [(r.a, r.b) for r in pairs.collect()]
+            seen.extend(kept)
+            true = [(a, b) for a, b in kept if abs(points[a] - points[b]) < 0.3]
+            return spark.createDataFrame(true, "a long, b long")
+
+        return verify
+
+    found = link_buckets(spark.createDataFrame(rows, "key string, id long"), records, near, verifier, scratch)
+    links = [(r.a, r.b) for r in found.collect()]
+    by_key: dict = {}
+    for key, i in rows:
+        by_key.setdefault(key, []).append(i)
+    every = [(a, b) for members in by_key.values() for a in members for b in members if a < b and abs(points[a] - points[b]) < 0.3]
+    assert smallest_reachable(points, links) == smallest_reachable(points, every)
+    assert len(seen) <= len({p for p in every}) * 3 + 600
+
+
+def test_a_bucket_of_copies_costs_a_row_each(spark, scratch):
+    count = 2000
+    records = spark.range(count).select("id", F.lit(1).alias("x"))
+    buckets = spark.range(count).select(F.lit("one").alias("key"), "id")
+    met = []
+
+    def verifier(ids):
+        def verify(pairs):
+            met.append(pairs.count())
+            return pairs
+
+        return verify
+
+    links = link_buckets(buckets, records, lambda left, right: F.col(f"{left}.x") == F.col(f"{right}.x"), verifier, scratch)
+    assert components(links, scratch).select("component").distinct().count() == 1
+    assert sum(met) < 2 * count
