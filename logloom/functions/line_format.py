@@ -10,14 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Fixed values of the format: white space, month names, maximal path length.
+# Fixed values of the format: white space, month names.
 ASCII_SPACE = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20"
 SPACE = (
     ASCII_SPACE
     + r"\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
-MAX_PATH = 500
 
 _ZONE = (
     r"(?:Z|[+-](?:[01][0-9]|2[0-3])"
@@ -69,17 +68,20 @@ def captured(line: Column) -> Column:
     )
 
 
-def fields_of(parts: Column) -> dict[str, Column]:
-    """Typed fields of a captured line. Only `requested_at` and `response_size` can fail to convert."""
+def fields_of(parts: Column, max_path: int | None = None) -> dict[str, Column]:
+    """Typed fields of a captured line. Only `requested_at` and `response_size` can fail to convert.
+
+    Paths are whole; with `max_path` they are cut to that many characters.
+    """
     month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(parts[2]))
     size = parts[11]
     return {
         "ip_address": parts[0],
         "method": parts[7],
-        "path": F.substring(parts[8], 1, MAX_PATH),
+        "path": parts[8] if max_path is None else F.substring(parts[8], 1, max_path),
         "protocol": parts[9],
         "status_code": parts[10].cast("int"),
-        "response_size": F.when(size == "-", F.lit(0)).otherwise(size.try_cast("int")),
+        "response_size": F.when(size == "-", F.lit(0).cast("long")).otherwise(size.try_cast("long")),
         "referer": F.nullif(parts[12], F.lit("-")),
         "user_agent": parts[13],
         # The wall clock as logged: the offset is checked above and then dropped.
@@ -91,5 +93,5 @@ def fields_of(parts: Column) -> dict[str, Column]:
             parts[5].cast("int"),
             parts[6].cast("decimal(8,6)"),
         ),
-        "response_ms": parts[14].try_cast("int"),
+        "response_ms": parts[14].try_cast("long"),
     }

@@ -23,22 +23,22 @@ def _convertible() -> Column:
     return F.col("requested_at").isNotNull() & F.col("response_size").isNotNull()
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
+def parse_lines(lines: DataFrame, max_path: int | None = None) -> DataFrame:
     """Every line with `parse_ok` and its fields, which only count where `parse_ok` holds."""
     found = _captured_once(lines, "value")
     parts = found.select("value", F.when(F.size("found") == GROUPS, F.col("found")).alias("parts"))
     typed = parts.select(
         "value",
         F.col("parts").isNotNull().alias("matched"),
-        *[column.alias(name) for name, column in fields_of(F.col("parts")).items()],
+        *[column.alias(name) for name, column in fields_of(F.col("parts"), max_path).items()],
     )
     return typed.select("value", (F.col("matched") & _convertible()).alias("parse_ok"), *PARSED)
 
 
-def parse_access_log(lines: DataFrame) -> DataFrame:
-    """The accepted lines of a DataFrame with a `value` column, as typed requests."""
+def parse_access_log(lines: DataFrame, max_path: int | None = None) -> DataFrame:
+    """The accepted lines of a DataFrame with a `value` column, as typed requests; `max_path` cuts long paths."""
     parts = _captured_once(lines).where(F.size("found") == GROUPS).withColumnRenamed("found", "parts")
-    typed = parts.select(*[column.alias(name) for name, column in fields_of(F.col("parts")).items()])
+    typed = parts.select(*[column.alias(name) for name, column in fields_of(F.col("parts"), max_path).items()])
     return typed.where(_convertible())
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 _RATE = T.DecimalType(5, 2)
-_MEAN = T.DecimalType(10, 2)
+_MEAN = T.DecimalType(20, 2)
 
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -21,12 +21,12 @@ RAW = _schema(
     ("path", T.StringType()),
     ("protocol", T.StringType()),
     ("status_code", T.IntegerType()),
-    ("response_size", T.IntegerType()),
+    ("response_size", T.LongType()),
     ("referer", T.StringType()),
     ("user_agent", T.StringType()),
     ("requested_at", T.TimestampNTZType()),
     ("ingested_at", T.TimestampType()),
-    ("response_ms", T.IntegerType()),
+    ("response_ms", T.LongType()),
     ("load_id", T.LongType()),
 )
 
@@ -38,7 +38,7 @@ STAGED = _schema(
     ("endpoint", T.StringType()),
     ("status_code", T.IntegerType()),
     ("status_class", T.StringType()),
-    ("response_size", T.IntegerType()),
+    ("response_size", T.LongType()),
     ("referer", T.StringType()),
     ("user_agent", T.StringType()),
     ("is_bot", T.BooleanType()),
@@ -48,7 +48,7 @@ STAGED = _schema(
     ("request_hour", T.IntegerType()),
     ("is_valid", T.BooleanType()),
     ("invalid_reason", T.StringType()),
-    ("response_ms", T.IntegerType()),
+    ("response_ms", T.LongType()),
     ("load_id", T.LongType()),
 )
 

@@ -45,7 +45,7 @@ def requests(events: DataFrame, paths: str = SHOP_PATHS) -> DataFrame:
                 WHEN event_id % 11 = 0 THEN 302
                 WHEN event_id % 131 = 0 THEN 700
                 ELSE 200 END AS status_code""",
-        "int(round(value * 100)) AS response_size",
+        "bigint(round(value * 100)) AS response_size",
         "string(NULL) AS referer",
         """CASE event_id % 6
                 WHEN 0 THEN 'Googlebot/2.1'
@@ -55,7 +55,7 @@ def requests(events: DataFrame, paths: str = SHOP_PATHS) -> DataFrame:
                 WHEN 4 THEN 'Opera/9'
                 ELSE 'Mozilla/5.0' END AS user_agent""",
         "ts AS requested_at",
-        "int(floor(value * 10)) AS response_ms",
+        "bigint(floor(value * 10)) AS response_ms",
     )
 
 

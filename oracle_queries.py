@@ -48,13 +48,13 @@ REQUESTS = """
            CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 3 = 0 THEN 500 ELSE 404 END
                 WHEN event_id % 11 = 0 THEN 302
                 WHEN event_id % 131 = 0 THEN 700 ELSE 200 END AS status_code,
-           CAST(round(value * 100) AS INTEGER) AS response_size,
+           CAST(round(value * 100) AS BIGINT) AS response_size,
            CAST(NULL AS VARCHAR) AS referer,
            CASE event_id % 6 WHEN 0 THEN 'Googlebot/2.1' WHEN 1 THEN 'curl/8.0'
                 WHEN 2 THEN 'Python-urllib/3.11' WHEN 3 THEN ''
                 WHEN 4 THEN 'Opera/9' ELSE 'Mozilla/5.0' END AS user_agent,
            ts AS requested_at,
-           CAST(floor(value * 10) AS INTEGER) AS response_ms,
+           CAST(floor(value * 10) AS BIGINT) AS response_ms,
            event_type
     FROM events"""
 

@@ -44,9 +44,9 @@ def tables(spark, scratch):
 
 STAGED = (
     "id long, ip_address string, method string, path string, endpoint string, status_code int, "
-    "status_class string, response_size int, is_bot boolean, client_type string, "
+    "status_class string, response_size long, is_bot boolean, client_type string, "
     "requested_at timestamp_ntz, request_date date, request_hour int, is_valid boolean, "
-    "invalid_reason string, response_ms int, endpoint_group string, log_date date, log_hour int"
+    "invalid_reason string, response_ms long, endpoint_group string, log_date date, log_hour int"
 )
 
 

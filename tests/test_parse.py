@@ -62,12 +62,13 @@ ACCEPTED = [
     (BASE + " 250", "response_ms", 250),
     (BASE + " 250 rest", "response_ms", 250),
     (BASE + " 0.250", "response_ms", None),
-    (BASE + " 99999999999", "response_ms", None),
+    (BASE + " 99999999999", "response_ms", 99999999999),
     ("\t" + BASE, "ip_address", "1.2.3.4"),
     ("\xa0 " + BASE, "ip_address", "1.2.3.4"),
     (BASE.replace('"curl/7"', '"a \\"q\\" b"'), "user_agent", "a \\"),
-    (BASE.replace("/a?x=1", "/" + "x" * 600), "path", "/" + "x" * 499),
-    (BASE.replace("/a?x=1", "/" + "é" * 600), "path", "/" + "é" * 499),
+    (BASE.replace("/a?x=1", "/" + "x" * 600), "path", "/" + "x" * 600),
+    (BASE.replace("/a?x=1", "/" + "é" * 600), "path", "/" + "é" * 600),
+    (BASE.replace(" 123 ", " 99999999999 "), "response_size", 99999999999),
     (BASE.replace("/a?x=1", '/a"b'), "path", '/a"b'),
     (BASE.replace("HTTP/1.1", "HTTP/1.1 extra"), "protocol", "HTTP/1.1 extra"),
     (BASE.replace(" 200 ", " 000 "), "status_code", 0),
@@ -89,7 +90,7 @@ REJECTED = [
     BASE.replace(" 123 ", " x1 "),
     BASE.replace(" 123 ", " 1_0 "),
     BASE.replace(" 123 ", " 1.5 "),
-    BASE.replace(" 123 ", " 99999999999 "),
+    BASE.replace(" 123 ", " 99999999999999999999 "),
     BASE.replace(" 200 ", " 20 "),
     BASE.replace(" 200 ", " 2000 "),
     BASE.replace(" +0700", ""),
@@ -174,7 +175,13 @@ def test_very_long_lines(parse):
         BASE.replace("curl/7", "u" * long + "\n"),
     ]
     rows = parse(*lines)
-    assert [(len(row.user_agent), len(row.path)) for row in rows] == [(long, 6), (long, 6), (6, 500), (6, 6)]
+    assert [(len(row.user_agent), len(row.path)) for row in rows] == [(long, 6), (long, 6), (6, long + 1), (6, 6)]
+
+
+def test_paths_are_cut_on_request(spark):
+    frame = spark.createDataFrame([(BASE.replace("/a?x=1", "/" + "é" * 600),)], "value string")
+    assert [row.path for row in parse_access_log(frame, max_path=500).collect()] == ["/" + "é" * 499]
+    assert len(parse_access_log(frame).first().path) == 601
 
 
 def test_absent_lines_are_rejected(spark):
