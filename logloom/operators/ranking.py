@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..scratch import Scratch
 
-# Up to this many rows a single task may sort for a global window.
-SINGLE_TASK_ROWS = 1_000_000
-
-
 def count_standings(groups: DataFrame, count: str, within: Sequence[str] = ()) -> DataFrame:
     """Per distinct count: its rank from the top, the running total down to it, and the grand total.
 
@@ -67,23 +63,15 @@ def rank_and_tile(
     tile_name: str,
     unique: Sequence[str],
     scratch: Scratch,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Global ranks by several columns and equal tiles by one, all from the top, NULL first.
 
     `rows` is a kept table, `ranks` maps new columns to the columns ranked by,
     `unique` names columns that together tell rows apart and order ties.
-    Few rows are ranked by plain windows; more are numbered slice by slice.
+    Rows are numbered slice by slice, so no task sorts all of them.
     """
     ties = [F.asc_nulls_last(c) for c in unique]
     result = rows
-    if rows.count() <= single_task_rows:
-        for name, value in ranks.items():
-            top_down = Window.orderBy(F.desc_nulls_first(value))
-            result = result.withColumn(name, F.rank().over(top_down).cast("long"))
-        in_order = Window.orderBy(F.desc_nulls_first(tile_by), *ties)
-        return result.withColumn(tile_name, F.ntile(tiles).over(in_order))
-
     for name, value in ranks.items():
         numbered = _numbered(result, [F.desc_nulls_first(value), *ties], scratch)
         firsts = numbered.groupBy(F.col(value).alias("ranked_value")).agg(F.min("position").alias(name))

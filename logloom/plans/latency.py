@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.numbers import mean, pct
 from ..operators.aggregates import is_error, valid
 from ..operators.quantiles import percentiles
-from ..operators.ranking import SINGLE_TASK_ROWS, rank_and_tile
+from ..operators.ranking import rank_and_tile
 from ..scratch import Scratch
 
 # Windows without partition below run over one row per hour or day of the
@@ -162,7 +162,6 @@ def slowest_endpoints(
     as_of: dt.date | None = None,
     days: int = 7,
     min_hits: int = 50,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Endpoint groups and methods since `days` before a day: mean and p95 with their ranks, quartile.
 
@@ -179,7 +178,6 @@ def slowest_endpoints(
         tile_name="quartile",
         unique=["endpoint_group", "method"],
         scratch=scratch,
-        single_task_rows=single_task_rows,
     ).orderBy(F.desc_nulls_first("p95_ms"), "endpoint_group", "method")
 
 

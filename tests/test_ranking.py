@@ -25,7 +25,15 @@ def test_standings_equal_plain_windows(spark):
         assert sorted(found.collect()) == sorted(expected.collect())
 
 
-def _ranked(rows, scratch, limit):
+def _plain(rows):
+    """The same by windows over all rows in one task."""
+    down = {name: Window.orderBy(F.desc_nulls_first(value)) for name, value in (("by_p95", "p95"), ("by_mean", "mean"))}
+    ties = Window.orderBy(F.desc_nulls_first("p95"), F.asc_nulls_last("name"), F.asc_nulls_last("method"))
+    ranked = rows.withColumns({name: F.rank().over(window).cast("long") for name, window in down.items()})
+    return ranked.withColumn("quartile", F.ntile(4).over(ties))
+
+
+def _ranked(rows, scratch):
     return rank_and_tile(
         rows,
         ranks={"by_p95": "p95", "by_mean": "mean"},
@@ -34,7 +42,6 @@ def _ranked(rows, scratch, limit):
         tile_name="quartile",
         unique=["name", "method"],
         scratch=scratch,
-        single_task_rows=limit,
     )
 
 
@@ -52,7 +59,7 @@ def test_sliced_ranks_equal_plain_windows(spark, scratch):
         ]
         frame = spark.createDataFrame(rows, "name string, method string, p95 double, mean double")
         kept = scratch.keep(frame)
-        small, sliced = _ranked(kept, scratch, 10**6), _ranked(kept, scratch, 0 if size else -1)
+        small, sliced = _plain(kept), _ranked(kept, scratch)
         assert sliced.columns == small.columns
         key = lambda row: row.name
         assert sorted(sliced.collect(), key=key) == sorted(small.collect(), key=key)
@@ -63,8 +70,8 @@ def test_a_tie_over_most_rows(spark, scratch):
         "concat('g', id) AS name", "'GET' AS method", "double(if(id % 3 = 0, id, 7)) AS p95", "double(1) AS mean"
     )
     kept = scratch.keep(rows)
-    found = _ranked(kept, scratch, 0)
-    assert found.exceptAll(_ranked(kept, scratch, 10**6)).count() == 0
+    found = _ranked(kept, scratch)
+    assert found.exceptAll(_plain(kept)).count() == 0
     assert found.where("by_mean <> 1").count() == 0
     tiles = {row.quartile: row["count"] for row in found.groupBy("quartile").count().collect()}
     assert tiles == {1: 750, 2: 750, 3: 750, 4: 750}
