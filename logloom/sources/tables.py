@@ -13,9 +13,6 @@ from ..operators.ingest import parse_lines, parse_rejects, stage_logs, with_ids
 from ..operators.merge import upsert
 from ..scratch import Scratch, hadoop_path, path_exists
 
-# Above this number of days or months a table is read as a whole instead of by
-# the folders of its parts.
-MAX_NAMED_PARTS = 5000
 # The folder of staged requests without a date.
 UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
@@ -58,14 +55,10 @@ class LogTables:
 
     def staged(self, days: list[dt.date] | None = None, loads: list[int] | None = None) -> DataFrame:
         """All staged requests, or those of some days, or of some loads on these days."""
-        parts = None
-        if days is not None and len(days) <= MAX_NAMED_PARTS:
-            parts = [f"request_date={day}" for day in days]
-            if loads is not None:
-                parts = [f"{part}/load_id={load_id}" for part in parts for load_id in loads]
+        parts = None if days is None else [f"request_date={day}" for day in days]
+        if parts is not None and loads is not None:
+            parts = [f"{part}/load_id={load_id}" for part in parts for load_id in loads]
         rows = self._read("stg_logs", schemas.STAGED, parts).select(*schemas.STAGED.names)
-        if parts is None and days is not None:
-            rows = rows.where(F.col("request_date").isin(days))
         return rows if loads is None else rows.where(F.col("load_id").isin(loads))
 
     def table(self, name: str) -> DataFrame:
@@ -90,7 +83,24 @@ class LogTables:
 
     def mark(self, name: str, load_id: int) -> None:
         """Note that a load is `staged` or `refreshed`."""
-        self.spark.range(0).write.mode("overwrite").parquet(f"{self.path(name)}/load_id={load_id}")
+        fs, hpath = hadoop_path(self.spark, f"{self.path(name)}/load_id={load_id}/_SUCCESS")
+        fs.create(hpath, True).close()
+
+    def next_load(self) -> int:
+        """The number after all finished loads and all that batches of streams were given; an unfinished load is replaced."""
+        given = [int(path.getName().split("=")[1]) for path in self._listed("stream_batches/*/load_id=*")]
+        return max([next(self._newest_first("raw_logs"), 0), *given]) + 1
+
+    def load_of_batch(self, stream: str, batch_id: int) -> int:
+        """The load number of a batch of a stream; the same one whenever it is asked for again."""
+        folder = f"stream_batches/{stream}-{batch_id}"
+        given = self._listed(f"{folder}/load_id=*")
+        if given:
+            return int(given[0].getName().split("=")[1])
+        load_id = self.next_load()
+        fs, hpath = hadoop_path(self.spark, f"{self.root}/{folder}/load_id={load_id}")
+        fs.mkdirs(hpath)
+        return load_id
 
     def _first_free_id(self) -> int:
         # Ids grow from load to load, so the last load with any rows decides.
@@ -107,11 +117,10 @@ class LogTables:
         of the same number is replaced. With `rejects_path`, rejected lines are
         kept there, which reads the lines a second time if there are any.
         """
-        latest = next(self._newest_first("raw_logs"), 0)
         if load_id is None:
-            load_id = latest + 1
-        elif load_id <= latest:
-            raise ValueError(f"load {load_id} does not come after load {latest}")
+            load_id = self.next_load()
+        elif self.is_finished("raw_logs", load_id):
+            raise ValueError(f"load {load_id} is finished")
         counts = Observation()
         parsed = parse_lines(lines).observe(
             counts,
@@ -172,12 +181,12 @@ class LogTables:
             return rows
         return rows.withColumn("month", F.trunc(table.date_column, "month"))
 
-    def _parts(self, name: str, parts: list[str] | None = None) -> DataFrame:
+    def _parts(self, name: str) -> DataFrame:
         table = schemas.TABLES[name]
         schema = table.schema
         if table.by_month:
             schema = T.StructType([*schema.fields, T.StructField("month", T.DateType())])
-        return self._read(name, schema, parts)
+        return self._read(name, schema)
 
     def _replace_parts(self, name: str, rows: DataFrame, *part_columns: str) -> None:
         """Write the rows in place of the parts they fall in."""
@@ -198,10 +207,9 @@ class LogTables:
         part = self._part_column(name)
         source = self.scratch.keep(self._with_part(name, self._typed(name, source)), f"{name}-new")
         if path_exists(self.spark, self.path(name)):
-            touched = source.select(part).distinct().limit(MAX_NAMED_PARTS + 1).collect()
-            named = [f"{part}={row[0]}" for row in touched] if len(touched) <= MAX_NAMED_PARTS else None
+            touched = [row[0] for row in source.select(part).distinct().collect()]  # days or months
             # Written aside first: a folder cannot be replaced while it is read.
-            merged = upsert(self._parts(name, named), source, table.keys)
+            merged = upsert(self._parts(name).where(F.col(part).isin(touched)), source, table.keys)
             source = self.scratch.keep(merged, f"{name}-merged")
         self._replace_parts(name, source.hint("rebalance", part), part)
 

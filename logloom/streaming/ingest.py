@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -18,10 +19,13 @@ def _run(
     after: Callable[[list[int]], None] | None,
     until_caught_up: bool,
 ) -> StreamingQuery:
+    # a stream is known by its checkpoint: with another one it starts over
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
+
     def land(batch: DataFrame, batch_id: int) -> None:
-        # A batch is one load. Replayed after a failure, a finished load is not
-        # written again, and staging it again replaces what is there.
-        load_id = batch_id + 1
+        # A batch is one load. Replayed after a failure it keeps its number: a
+        # finished load is not written again, and staging replaces what is there.
+        load_id = tables.load_of_batch(stream, batch_id)
         if not tables.is_finished("raw_logs", load_id):
             tables.load(batch, load_id)
         tables.stage(load_id)
@@ -35,7 +39,10 @@ def _run(
 def stream_ingest(
     lines: DataFrame, tables: LogTables, checkpoint: str, until_caught_up: bool = False
 ) -> StreamingQuery:
-    """Append each batch of lines to the raw and staged tables. The stream is their only writer."""
+    """Append each batch of lines to the raw and staged tables, beside what other loads put there.
+
+    One stream or build writes to a root at a time.
+    """
     return _run(lines, tables, checkpoint, None, until_caught_up)
 
 
