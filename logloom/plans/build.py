@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 from ..operators.aggregates import (
     data_quality_report,
@@ -25,8 +25,7 @@ def refresh_hourly(tables: LogTables, loads: list[int]) -> None:
     """Recompute the hourly traffic of the hours some loads fall in."""
     days = tables.days_of(loads)
     hours = tables.staged(days, loads).select("request_date", "request_hour").distinct()
-    # One row per hour of the calendar the loads touch.
-    touched = tables.staged(days).join(F.broadcast(hours), ["request_date", "request_hour"], "left_semi")
+    touched = tables.staged(days).join(hours, ["request_date", "request_hour"], "left_semi")
     tables.upsert("agg_hourly_traffic", hourly_traffic(touched))
 
 
@@ -74,7 +73,7 @@ def build_tables(
         refresh_tables(tables, tables.days_of(loads))
     for load_id in loads:
         tables.mark("refreshed", load_id)
-    title = report_title or f"Log Analysis Report {dt.date.today()}"
+    title = report_title or f"Access report {dt.date.today()}"
     export_reports({name: tables.table(name) for name in REPORTED}, tables.path("reports"), title)
     tables.scratch.drop()
     return load

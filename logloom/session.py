@@ -22,6 +22,10 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # per (hour, client) state of a stream belongs on disk
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.shuffle.registration.timeout": "120000",
     "spark.decommission.enabled": "true",
     "spark.storage.decommission.enabled": "true",
