@@ -83,7 +83,7 @@ class WordEncoder:
     which this does not hold, are encoded as they are.
     """
 
-    KEPT = 1_000_000
+    KEPT = 2_000_000
     _shared: tuple = (None, None)
 
     @classmethod
@@ -97,6 +97,9 @@ class WordEncoder:
         import tokenizers
 
         self.library = tokenizers.Tokenizer.from_buffer(tokenizer)
+        # the same model for text that is in its byte letters and has one blank between units
+        self.units = tokenizers.Tokenizer(self.library.model)
+        self.units.pre_tokenizer = tokenizers.pre_tokenizers.CharDelimiterSplit(" ")
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.width = np.dtype("<u2" if max([end_id, *vocabulary.values()]) < 1 << 16 else "<u4")
         self.end = np.array([end_id], self.width).tobytes()
@@ -122,18 +125,20 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, with the end id, as bytes."""
-        # the first word of a text has no blank before it
-        cut = [t.split(" ") if self._sums_up(t) else None for t in texts]
-        heads = self._heads({words[0] for words in cut if words})
-        new = set().union(*(words[1:] for words in cut if words)) - self.known.keys()
-        if len(self.known) + len(new) > self.KEPT:
+        if len(self.known) > self.KEPT:
             self.known = {}
-            new = set().union(*(words[1:] for words in cut if words))
-        self._learn(list(new))
-        get = self.known.__getitem__
+        cut = [t.split(" ") if self._sums_up(t) else None for t in texts]
+        # the first word of a text has no blank before it
+        firsts = [words.pop(0) if words else "" for words in cut]
+        heads = self._heads(set(firsts))
+        met = set().union(*filter(None, cut))
+        known = self.known
+        self._learn([w for w in met if w not in known])
+        # the words of these texts alone make a small dictionary, which stays in the processor's cache
+        get = {w: known[w] for w in met}.__getitem__
         return [
-            (heads[words[0]] + b"".join(map(get, words[1:])) if words else self.whole(text)) + self.end
-            for words, text in zip(cut, texts)
+            (self.whole(text) if words is None else b"".join([heads[first], *map(get, words)])) + self.end
+            for text, words, first in zip(texts, cut, firsts)
         ]
 
     def _heads(self, words: set[str]) -> dict[str, bytes]:
@@ -142,17 +147,24 @@ class WordEncoder:
         return {w: np.array(e.ids, self.width).tobytes() for w, e in zip(words, found)}
 
     def _learn(self, words: list[str]) -> None:
+        # a word of ASCII letters is one unit of the byte-level split, and its bytes are written as they are
+        letters = [w for w in words if w.isascii() and w.isalpha()]
+        self._learn_with(self.units, letters, "Ġ", " Ġ")
+        self._learn_with(self.library, [w for w in words if not (w.isascii() and w.isalpha())], " ", " ")
+
+    def _learn_with(self, library, words: list[str], head: str, between: str) -> None:
         for first in range(0, len(words), 1000):
             part = words[first : first + 1000]
-            ids = np.array(self.library.encode(" " + " ".join(part), add_special_tokens=False).ids, self.width)
+            text = head + between.join(part)
+            ids = np.array(library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
             starts = np.flatnonzero(self.opens[ids])
             if len(starts) != len(part):  # some word has tokens that start with a blank of its own
                 for word in part:
                     self.known[word] = self.whole(" " + word)
                 continue
-            raw, size = ids.tobytes(), self.width.itemsize
-            ends = [*(starts[1:] * size).tolist(), len(raw)]
-            self.known.update((w, raw[s:e]) for w, s, e in zip(part, (starts * size).tolist(), ends))
+            raw = ids.tobytes()
+            starts = (starts * self.width.itemsize).tolist()
+            self.known.update(zip(part, map(raw.__getitem__, map(slice, starts, [*starts[1:], len(raw)]))))
 
 
 def write_file(folder: str, name: str, ids: list[bytes], width: int) -> int:
@@ -252,11 +264,11 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["part", "path", "doc_ids", "ids"])
 
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             numbers = batch.column("id").to_pylist()
             id_arrow = batch.column("id").type
-            for first in range(0, len(texts), 256):
-                for number_of, encoded in zip(numbers[first : first + 256], encoder.encode(texts[first : first + 256])):
+            for first in range(0, batch.num_rows, 256):
+                texts = batch.column("text").slice(first, 256).to_pylist()
+                for number_of, encoded in zip(numbers[first : first + 256], encoder.encode(texts)):
                     held.append(encoded)
                     ids.append(number_of)
                     size += len(encoded)
@@ -296,5 +308,5 @@ def read_token_files(manifest: DataFrame, id_column: str = "doc_id") -> DataFram
                 arrays = [pa.array(columns[0], id_arrow), *(pa.array(c, pa.int64()) for c in columns[1:])]
                 yield pa.RecordBatch.from_arrays(arrays, names=[id_column, "start", "n_tokens", "ids_crc32"])
 
-    spread = files.repartition(F.col("path"))
+    spread = files.repartition(max(1, manifest.count()), "path")
     return spread.mapInArrow(read, f"`{id_column}` {item}, start long, n_tokens long, ids_crc32 long")
