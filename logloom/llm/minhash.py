@@ -9,7 +9,6 @@ Bands of the sketch are the buckets, whole shingle sets decide.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,92 +17,27 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logloom.llm.linking import components, link_buckets
+from logloom.llm.text_hash import BASE, SEED, canonical_words, hashed_spans, scrambled, seeds
 from logloom.scratch import Scratch
 
-SLAB = 1 << 20  # bytes of text hashed at once
-SEED = 0x5EED
-
-
-def _scrambled(values: np.ndarray) -> np.ndarray:
-    """64-bit values mixed so that all bits depend on all (the finaliser of splitmix64)."""
-    x = values.astype(np.uint64)
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _seeds(count: int, start: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return _scrambled(np.arange(start, start + count, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
-BYTE_VALUES = _seeds(256, SEED) | np.uint64(1)
-BASE = 0xC2B2AE3D27D4EB4F
-
-# Words are runs of bytes other than these six; A-Z count as a-z.
-_AS_READ = np.arange(256, dtype=np.uint8)
-_AS_READ[[9, 10, 11, 12, 13]] = 32
-_AS_READ[65:91] += 32
-
-
-@functools.lru_cache(maxsize=2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of BASE and of its inverse modulo 2^64, 2^bits of them."""
-    inverse = pow(BASE, -1, 1 << 64)
-    with np.errstate(over="ignore"):
-        return tuple(
-            np.cumprod(np.concatenate([[np.uint64(1)], np.full((1 << bits) - 1, base, np.uint64)]), dtype=np.uint64)
-            for base in (BASE, inverse)
-        )
-
-
-def _hashed_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every span of `data`; equal bytes give equal hashes wherever they lie."""
-    out = np.empty(len(starts), np.uint64)
-    first = 0
-    while first < len(starts):
-        low = starts[first]
-        last = max(first + 1, int(np.searchsorted(starts, low + SLAB)))
-        high = int(ends[last - 1])
-        powers, inverses = _powers(max(10, int(high - low).bit_length()))
-        with np.errstate(over="ignore"):
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_VALUES[data[low:high]] * powers[: high - low])])
-            s, e = starts[first:last] - low, ends[first:last] - low
-            out[first:last] = (sums[e] - sums[s]) * inverses[s] + (e - s).astype(np.uint64)
-        first = last
-    return _scrambled(out)
-
-
 def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
     """Sorted distinct hashes of the runs of `words` words of a text; of all its words if it has fewer."""
-    data = _AS_READ[np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)]
-    blank = data == 32
-    kept = ~blank
-    kept[1:] |= ~blank[:-1]
-    if len(kept):
-        kept[0] = not blank[0]
-    data = data[kept]
-    gaps = np.flatnonzero(data == 32)
-    starts = np.concatenate([[0], gaps + 1]).astype(np.int64)
-    ends = np.concatenate([gaps, [len(data)]]).astype(np.int64)
-    if starts[-1] == len(data):
-        starts, ends = starts[:-1], ends[:-1]
+    data, starts, ends = canonical_words(text)
     if not len(starts):
         return np.empty(0, np.uint64)
     run = min(words, len(starts))
-    return np.unique(_hashed_spans(data, starts[: len(starts) - run + 1], ends[run - 1 :]))
+    return np.unique(hashed_spans(data, starts[: len(starts) - run + 1], ends[run - 1 :]))
 
 
 def sketch(shingles: np.ndarray, size: int) -> np.ndarray:
     """The `size` coordinates of a non-empty set; a coordinate is round * 2^48 + hashed fraction."""
     bins = np.full(size, np.iinfo(np.uint64).max, np.uint64)
-    seeds = _seeds(2 * size, SEED + 1000)
+    turns = seeds(2 * size, SEED + 1000)
     step = max(1, 1024 // len(shingles))
     done = 0
     while done < 2 * size and (bins == np.iinfo(np.uint64).max).any():
         rounds = np.arange(done, min(2 * size, done + step), dtype=np.uint64)
-        thrown = _scrambled(shingles[None, :] ^ seeds[done : done + len(rounds), None])
+        thrown = scrambled(shingles[None, :] ^ turns[done : done + len(rounds), None])
         places = np.where(rounds[:, None] < size, (thrown >> np.uint64(48)) % np.uint64(size), rounds[:, None] - np.uint64(size))
         values = (rounds[:, None] << np.uint64(48)) | (thrown & np.uint64((1 << 48) - 1))
         np.minimum.at(bins, places.ravel().astype(np.int64), values.ravel())
@@ -111,20 +45,19 @@ def sketch(shingles: np.ndarray, size: int) -> np.ndarray:
     return bins
 
 
-def _described(text: str | None, words: int, bands: int, rows: int) -> tuple:
+def _described(text: str | None, words: int, bands: int, rows: int, bits: int) -> tuple:
     """(number of shingles, two digests of the set, band keys, one bit of each coordinate as words of 64 bits)."""
     shingles = shingle_set(text, words)
     if not len(shingles):
         return 0, None, None, None, None
     with np.errstate(over="ignore"):
-        digests = [int(_scrambled(shingles ^ seed).sum(dtype=np.uint64).astype(np.int64)) for seed in _seeds(2, 7)]
-        bins = sketch(shingles, bands * rows)
+        digests = [int(scrambled(shingles ^ seed).sum(dtype=np.uint64).astype(np.int64)) for seed in seeds(2, 7)]
+        bins = sketch(shingles, bits)
         keys = np.arange(1, bands + 1, dtype=np.uint64)
-        for column in bins.reshape(bands, rows).T:
-            keys = _scrambled(keys * np.uint64(BASE) + column)
-    bits = np.packbits((_scrambled(bins) & np.uint64(1)).astype(np.uint8))
-    bits = np.concatenate([bits, np.zeros(-len(bits) % 8, np.uint8)])
-    return len(shingles), *digests, keys.view(np.int64), bits.view(np.int64)
+        for column in bins[: bands * rows].reshape(bands, rows).T:
+            keys = scrambled(keys * np.uint64(BASE) + column)
+    one_each = np.packbits((scrambled(bins) & np.uint64(1)).astype(np.uint8))
+    return len(shingles), *digests, keys.view(np.int64), one_each.view(np.int64)
 
 
 def near_duplicates(
@@ -137,13 +70,17 @@ def near_duplicates(
     words: int = 5,
     bands: int = 32,
     rows: int = 4,
+    bits: int = 1024,
 ) -> DataFrame:
     """One row per row of `docs`: id, n_shingles, component_id, kept.
 
     Two documents are linked if 100 * |A and B| >= percent * |A or B| for
     their sets of shingles; component_id is the smallest id that links reach,
-    kept says that it is the row's own id. A pair of that likeness shares no
-    band with probability (1 - (percent/100)^rows)^bands, 5e-6 by default.
+    kept says that it is the row's own id. The sketch has `bits` coordinates, a
+    multiple of 64. A pair of that likeness shares no band with probability
+    (1 - (percent/100)^rows)^bands, 5e-6 by default; before whole sets are
+    compared, one bit of each coordinate shows pairs that are clearly less
+    alike.
 
     Null and empty texts and texts of blanks have no shingles and are linked
     with nothing. Equal sets are one class and never compared. Rows of one id
@@ -156,7 +93,7 @@ def near_duplicates(
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_described(t, words, bands, rows) for t in batch.column("text").to_pylist()]
+            found = [_described(t, words, bands, rows, bits) for t in batch.column("text").to_pylist()]
             columns = zip(*found) if found else [[]] * 5
             types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
@@ -177,30 +114,30 @@ def near_duplicates(
     # One row per class: digests and first id agree.
     firsts = known.join(classes.withColumnRenamed("class_id", "id"), [*digest, "id"], "left_semi")
     firsts = firsts.dropDuplicates([*digest, "id"])
-    words_of_bits = -(-bands * rows // 64)
-    buckets = firsts.select(
-        F.explode("bands").alias("key"), "id", "n_shingles", *[F.col("bits")[i].alias(f"bits_{i}") for i in range(words_of_bits)]
-    )
-    # Bits of unlike coordinates agree by half, so a pair of the wanted likeness agrees in
-    # (1 + percent/100)/2 of them; six standard deviations below that is not such a pair.
+    places = [f"bits_{i}" for i in range(bits // 64)]
+    records = firsts.select("id", "n_shingles", *[F.col("bits")[i].alias(name) for i, name in enumerate(places)])
+    buckets = firsts.select(F.explode("bands").alias("key"), "id")
+    # Bits of unlike coordinates agree by half, so those of a pair of the wanted likeness agree in
+    # (1 + percent/100)/2 of them; 4 standard deviations below that (3e-5) it is not such a pair.
     agree = (1 + percent / 100) / 2
-    size = bands * rows
-    most_apart = int(size * (1 - agree) + 6 * (size * agree * (1 - agree)) ** 0.5)
+    deviation = (bits * agree * (1 - agree)) ** 0.5
 
-    def near(left: str, right: str) -> Column:
-        apart = sum(
-            (F.bit_count(F.col(f"{left}.bits_{i}").bitwiseXOR(F.col(f"{right}.bits_{i}"))) for i in range(words_of_bits)),
-            F.lit(0),
-        )
-        sizes = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
-        return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (apart <= most_apart)
+    def within(deviations: float):
+        most_apart = int(bits * (1 - agree) + deviations * deviation)
+
+        def near(left: str, right: str) -> Column:
+            apart = sum((F.bit_count(F.col(f"{left}.{p}").bitwiseXOR(F.col(f"{right}.{p}"))) for p in places), F.lit(0))
+            sizes = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
+            return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (apart <= most_apart)
+
+        return near
 
     def verifier(ids: DataFrame):
-        packed = _packed(docs).join(ids, "id", "left_semi")
+        packed = packed_texts(docs).join(ids, "id", "left_semi")
         packed = work.keep(packed, "packed-texts")
         return lambda pairs: _verified(work.keep(pairs, "pairs"), packed, percent, words)
 
-    links = link_buckets(buckets, near, verifier, work)
+    links = link_buckets(buckets, records, within(4.0), verifier, work, likely=within(0.5))
     groups = work.keep(components(links.unionAll(copies), work), "groups").withColumnRenamed("id", "member")
     found = sketches.select("id", "n_shingles").join(groups, F.col("id") == F.col("member"), "left")
     component = F.coalesce("component", "id")
@@ -212,7 +149,14 @@ def near_duplicates(
     )
 
 
-def _packed(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, work: Scratch, *, id_column: str = "doc_id", **options) -> DataFrame:
+    """The rows of `docs` that are kept, with all their columns; rows of one id stay or go together."""
+    found = near_duplicates(docs, work, id_column=id_column, **options)
+    gone = work.keep(found.where("NOT kept").select(F.col(id_column).alias("gone_id")).distinct(), "gone")
+    return docs.join(gone, F.col(id_column) == F.col("gone_id"), "left_anti")
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
     """(id, text), each text compressed: they travel in shuffles."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
