@@ -27,10 +27,9 @@ def top_endpoints_running_total(staged: DataFrame, scratch: Scratch, top: int =
     )
     order = [F.desc("total_hits"), F.asc_nulls_last("endpoint")]
     leaders = counts.orderBy(*order).limit(top)
-    # `top` rows: small enough to broadcast at any data size.
     return (
         count_standings(counts, "total_hits")
-        .join(F.broadcast(leaders), "total_hits")
+        .join(leaders, "total_hits")
         .select(
             "endpoint",
             "total_hits",
