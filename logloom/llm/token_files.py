@@ -21,6 +21,7 @@ import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from logloom.llm.text_hash import hashed_spans
 from logloom.scratch import Scratch
 
 MAGIC = "ids-with-ends-1"
@@ -106,7 +107,7 @@ class WordEncoder:
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.opens[number] = token.startswith("Ġ")
-        self.known: dict[str, bytes] = {}
+        self._forget()
         split = json.loads(tokenizer)
         step = split.get("pre_tokenizer") or {}
         self.added = [t["content"] for t in split.get("added_tokens", [])]
@@ -123,48 +124,81 @@ class WordEncoder:
     def _sums_up(self, text: str) -> bool:
         return self.by_word and "  " not in text and not text.endswith(" ") and not any(t in text for t in self.added)
 
+    def _forget(self) -> None:
+        self.slots: dict[bytes, int] = {}
+        # the ids of all remembered words one after another, and each word's part of them
+        self.flat = np.zeros(1 << 16, self.width)
+        self.begin, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.words = self.used = 0
+
+    def _keep(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Append the ids of some words."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.words + len(sizes) > len(self.size):
+            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.begin[self.words : self.words + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.size[self.words : self.words + len(sizes)] = sizes
+        self.used += len(ids)
+        self.words += len(sizes)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, with the end id, as bytes."""
-        if len(self.known) > self.KEPT:
-            self.known = {}
-        cut = [t.split(" ") if self._sums_up(t) else None for t in texts]
+        if self.words > self.KEPT:
+            self._forget()
+        summed = [t for t in texts if self._sums_up(t)]
+        parts = iter(self._summed(summed) if summed else ())
+        return [(next(parts) if self._sums_up(t) else self.whole(t)) + self.end for t in texts]
+
+    def _summed(self, texts: list[str]) -> list[bytes]:
+        joined = " ".join(texts).encode("utf-8", "replace")
+        data = np.frombuffer(joined, np.uint8)
+        gaps = np.flatnonzero(data == 32)
+        starts, ends = np.append(0, gaps + 1), np.append(gaps, len(data))
+        counts = np.array([t.count(" ") + 1 for t in texts])
+        heads = np.cumsum(counts) - counts
+        # words that occur again in these texts are looked up once
+        _, one, where = np.unique(hashed_spans(data, starts, ends), return_index=True, return_inverse=True)
+        words = [joined[s:e] for s, e in zip(starts[one].tolist(), ends[one].tolist())]
+        self._learn([w for w in words if w not in self.slots])
+        slots = np.array([self.slots[w] for w in words], np.int64)[where]
         # the first word of a text has no blank before it
-        firsts = [words.pop(0) if words else "" for words in cut]
-        heads = self._heads(set(firsts))
-        met = set().union(*filter(None, cut))
-        known = self.known
-        self._learn([w for w in met if w not in known])
-        # the words of these texts alone make a small dictionary, which stays in the processor's cache
-        get = {w: known[w] for w in met}.__getitem__
-        return [
-            (self.whole(text) if words is None else b"".join([heads[first], *map(get, words)])) + self.end
-            for text, words, first in zip(texts, cut, firsts)
-        ]
-
-    def _heads(self, words: set[str]) -> dict[str, bytes]:
-        words = list(words)
-        found = self.library.encode_batch(words, add_special_tokens=False)
-        return {w: np.array(e.ids, self.width).tobytes() for w, e in zip(words, found)}
-
-    def _learn(self, words: list[str]) -> None:
+        slots[heads] = self._head_slots([joined[s:e] for s, e in zip(starts[heads].tolist(), ends[heads].tolist())])
+        begin, size = self.begin[slots], self.size[slots]
+        stops = np.cumsum(size)
+        flat = self.flat[np.repeat(begin - (stops - size), size) + np.arange(stops[-1])]
+        bounds = np.append(0, stops[heads + counts - 1]).tolist()
+        return [flat[s:e].tobytes() for s, e in zip(bounds, bounds[1:])]
+
+    def _head_slots(self, words: list[bytes]) -> list[int]:
+        # a key with a blank in it is no other word's
+        keys = [b"first " + w for w in words]
+        new = list({w: None for w, key in zip(words, keys) if key not in self.slots})
+        found = [e.ids for e in self.library.encode_batch([w.decode() for w in new], add_special_tokens=False)]
+        self.slots.update((b"first " + w, self.words + n) for n, w in enumerate(new))
+        self._keep(np.array([i for ids in found for i in ids], self.width), np.array([len(ids) for ids in found], np.int64))
+        return [self.slots[key] for key in keys]
+
+    def _learn(self, words: list[bytes]) -> None:
         # a word of ASCII letters is one unit of the byte-level split, and its bytes are written as they are
-        letters = [w for w in words if w.isascii() and w.isalpha()]
-        self._learn_with(self.units, letters, "Ġ", " Ġ")
-        self._learn_with(self.library, [w for w in words if not (w.isascii() and w.isalpha())], " ", " ")
+        self._learn_with(self.units, [w for w in words if w.isalpha()], "Ġ", " Ġ")
+        self._learn_with(self.library, [w for w in words if not w.isalpha()], " ", " ")
 
-    def _learn_with(self, library, words: list[str], head: str, between: str) -> None:
+    def _learn_with(self, library, words: list[bytes], head: str, between: str) -> None:
         for first in range(0, len(words), 1000):
             part = words[first : first + 1000]
-            text = head + between.join(part)
+            text = head + between.join([w.decode() for w in part])
             ids = np.array(library.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width)
             starts = np.flatnonzero(self.opens[ids])
-            if len(starts) != len(part):  # some word has tokens that start with a blank of its own
-                for word in part:
-                    self.known[word] = self.whole(" " + word)
-                continue
-            raw = ids.tobytes()
-            starts = (starts * self.width.itemsize).tolist()
-            self.known.update(zip(part, map(raw.__getitem__, map(slice, starts, [*starts[1:], len(raw)]))))
+            if len(starts) == len(part):
+                sizes = np.diff(np.append(starts, len(ids)))
+            else:  # some word has tokens that start with a blank of its own
+                each = [self.library.encode(" " + w.decode(), add_special_tokens=False).ids for w in part]
+                ids = np.array([i for one in each for i in one], self.width)
+                sizes = np.array([len(one) for one in each], np.int64)
+            self.slots.update(zip(part, range(self.words, self.words + len(part))))
+            self._keep(ids, sizes)
 
 
 def write_file(folder: str, name: str, ids: list[bytes], width: int) -> int:
@@ -266,9 +300,9 @@ def write_token_files(
         for batch in batches:
             numbers = batch.column("id").to_pylist()
             id_arrow = batch.column("id").type
-            for first in range(0, batch.num_rows, 256):
-                texts = batch.column("text").slice(first, 256).to_pylist()
-                for number_of, encoded in zip(numbers[first : first + 256], encoder.encode(texts)):
+            for first in range(0, batch.num_rows, 1024):
+                texts = batch.column("text").slice(first, 1024).to_pylist()
+                for number_of, encoded in zip(numbers[first : first + 1024], encoder.encode(texts)):
                     held.append(encoded)
                     ids.append(number_of)
                     size += len(encoded)
