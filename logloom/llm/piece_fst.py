@@ -62,7 +62,7 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 class PieceFst:
     """The compiled transducer of one model file."""
 
-    KEPT = 1_000_000  # segments whose encoding a worker remembers
+    KEPT = 250_000  # segments whose encoding a worker remembers, and pairs of pieces
     LONGEST = 64  # characters of a segment that is solved together with others
     _shared: tuple = (None, None)
 
