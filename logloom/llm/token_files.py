@@ -84,7 +84,7 @@ class WordEncoder:
     which this does not hold, are encoded as they are.
     """
 
-    KEPT = 2_000_000
+    KEPT = 1_500_000
     _shared: tuple = (None, None)
 
     @classmethod
