@@ -8,7 +8,8 @@ or more, one from each chunk on. Chains whose digest occurs in two documents
 are repeated; where they overlap or touch they form a run. A run of
 `least_words` words is a repeated passage. A passage may reach beyond the run
 in it, but only so far that no other chain is wholly inside; where that could
-make up for the missing words, the texts of both documents are compared.
+make up for the missing words, windows of `least_words` words at the runs are
+compared over all documents.
 """
 
 from __future__ import annotations
@@ -150,49 +151,44 @@ def repeated_passages(
     schema = f"id {id_type}, start_word long, n_words long, others array<{id_type}>, kept boolean, long boolean"
     made = work.keep(made.mapInArrow(runs, schema), "runs", compression="zstd")
     sure = made.where("long").withColumn("other", F.array_min("others"))
-    pairs = made.where("NOT long").select("id", "start_word", "n_words", "kept", F.explode("others").alias("other"))
-    checked = _in_long_passages(pairs, rows, work, least_words)
-    checked = checked.groupBy("id", "start_word", "n_words", "kept").agg(F.min("other").alias("other"))
+    checked = _in_long_passages(made.select("id", "start_word", "n_words", "kept", "long"), rows, work, least_words)
     columns = [F.col("id").alias(id_column), "start_word", "n_words", F.col("other").alias(f"other_{id_column}"), "kept"]
     return sure.select(*columns).unionAll(checked.select(*columns))
 
 
-def _in_long_passages(pairs: DataFrame, rows: DataFrame, work: Scratch, least_words: int) -> DataFrame:
-    """Those (id, start_word, n_words, kept, other) where `least_words` words in a row that touch the run are in the other text."""
-    pairs = work.keep(pairs, "short-runs")
-    ids = pairs.selectExpr("explode(array(id, other)) AS id").distinct()
-    texts = work.keep(packed_texts(rows).join(ids, "id", "left_semi"), "packed-texts")
-    ends = pairs.join(texts.withColumnRenamed("text", "text_a"), "id")
-    ends = ends.join(texts.select(F.col("id").alias("other"), F.col("text").alias("text_b")), "other")
+def _in_long_passages(made: DataFrame, rows: DataFrame, work: Scratch, least_words: int) -> DataFrame:
+    """(id, start_word, n_words, kept, other) of the runs that aren't long but have `least_words` words in a row that touch them and are in another document.
 
-    def windows(words: tuple, first: int, last: int) -> np.ndarray:
-        """Hashes of the runs of least_words words that start from `first` to `last`."""
-        data, starts, stops = words
-        first, last = max(0, first), min(last, len(starts) - least_words)
-        if last < first:
-            return np.empty(0, np.uint64)
-        return hashed_spans(data, starts[first : last + 1], stops[first + least_words - 1 : last + least_words])
+    Who has the words as well has their chains, too, and so a run that they
+    touch: the windows at all runs are grouped by hash, whoever the partners
+    of the chains are. Long runs only give windows for others to meet.
+    """
+    spans = made.groupBy("id").agg(F.collect_list(F.struct("start_word", "n_words", "kept", "long")).alias("spans"))
+    texts = packed_texts(rows).join(work.keep(spans, "run-spans"), "id")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grow = zstandard.ZstdDecompressor()
-
-        def text(packed: pa.Scalar) -> tuple:
-            return canonical_words(grow.decompress(packed.as_py()).decode("utf-8"))
-
-        last: tuple = (None, None)
         for batch in batches:
-            found = []
             for row in range(batch.num_rows):
-                first, count, mine, theirs = (batch.column(c)[row] for c in ("start_word", "n_words", "text_a", "text_b"))
-                if last[0] is None or theirs.as_py() != last[0]:
-                    whole = text(theirs)
-                    last = theirs.as_py(), np.unique(windows(whole, 0, len(whole[1])))
-                start = first.as_py()
-                found.append(bool(np.isin(windows(text(mine), start - least_words + 1, start + count.as_py()), last[1]).any()))
-            names = ["id", "start_word", "n_words", "kept", "other"]
-            yield batch.select(names).filter(pa.array(found, pa.bool_()))
-
-    return ends.select("id", "start_word", "n_words", "kept", "other", "text_a", "text_b").mapInArrow(compare, pairs.schema).distinct()
+                data, starts, stops = canonical_words(grow.decompress(batch.column("text")[row].as_py()).decode("utf-8"))
+                for span in batch.column("spans")[row].as_py():
+                    first = max(0, span["start_word"] - least_words + 1)
+                    last = min(span["start_word"] + span["n_words"], len(starts) - least_words)
+                    if last < first:
+                        continue
+                    found = np.unique(hashed_spans(data, starts[first : last + 1], stops[first + least_words - 1 : last + least_words]))
+                    names = ["id", "start_word", "n_words", "kept", "long"]
+                    mine = batch.column("id").take(pa.array(np.full(len(found), row)))
+                    rest = [pa.repeat(pa.scalar(span[n], t), len(found)) for n, t in zip(names[1:], (pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))]
+                    yield pa.RecordBatch.from_arrays([mine, *rest, pa.array(found.view(np.int64))], names=[*names, "window"])
+
+    kind = made.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, start_word long, n_words long, kept boolean, long boolean, window long"
+    found = work.keep(texts.select("id", "text", "spans").mapInArrow(windows, schema), "windows", compression="zstd")
+    holders = found.groupBy("window").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    met = found.where("NOT long").join(work.keep(holders, "window-holders"), "window")
+    other = F.when(F.col("low") < F.col("id"), F.col("low")).otherwise(F.col("high"))
+    return met.groupBy("id", "start_word", "n_words", "kept").agg(F.min(other).alias("other"))
 
 
 def _runs(row: dict, least_words: int) -> Iterator[tuple]:

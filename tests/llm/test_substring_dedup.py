@@ -50,6 +50,21 @@ def test_planted_passages(spark, scratch, seed):
     assert all(r.kept for r in got if r.doc_id == min(holders))
 
 
+def test_the_first_holder_of_a_chain_has_less_than_the_passage(spark, scratch):
+    rows, holders = [], set()
+    for k in range(12):
+        rng = random.Random(100 + k)
+        passage = sentence(rng, 52).split(" ")
+        for i, words in ((0, 49), (1, 52), (2, 52), (3, 49)):  # the lowest and the highest id have a part only
+            text = " ".join([sentence(rng, 40), *passage[:words], sentence(rng, 40)])
+            rows.append((1000 * i + k, text, "en", "a", 0, 0, "k", "c"))
+        holders |= {1000 + k, 2000 + k}
+    assert sharing(rows, 50) == holders
+    found = substring_dedup.repeated_passages(frame(spark, rows), scratch).collect()
+    assert {r.doc_id for r in found} == holders
+    assert all(r.other_doc_id in (r.doc_id + 1000, r.doc_id - 1000) for r in found)
+
+
 def test_blanks_and_case_do_not_matter(spark, scratch):
     rng = random.Random(9)
     passage = sentence(rng, 80)
