@@ -324,9 +324,10 @@ def read_token_files(manifest: DataFrame, id_column: str = "doc_id") -> DataFram
     start counts the ids of all documents before it; the checksum is of the
     ids as little-endian 32-bit integers.
     """
-    # one row per file in this window
+    # one short row per file in this window: the documents' ids stay out of it
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    files = manifest.select("path", "doc_ids", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start"))
+    starts = manifest.select("part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start"))
+    files = manifest.select("part", "path", "doc_ids").join(starts, "part").drop("part")
     item = manifest.schema["doc_ids"].dataType.elementType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -75,3 +75,12 @@ def test_null_ids_and_no_rows(spark, scratch):
     assert [r.doc_id for r in found] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
     none = token_files.write_token_files(empty(spark), scratch, tokenizer_path=PATH, end_id=2)
     assert token_files.read_token_files(none).count() == 0
+
+
+def test_document_ids_stay_out_of_the_window(spark, scratch):
+    manifest = token_files.write_token_files(frame(spark, documents()), scratch, tokenizer_path=PATH, end_id=2)
+    plan = token_files.read_token_files(manifest)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(plan) if " Window " in line or "- Window" in line)
+    below = [line for line in plan[at:] if "Relation" in line][0]
+    window = plan[at : plan.index(below)]
+    assert not any("doc_ids" in line for line in window)
