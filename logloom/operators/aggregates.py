@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import mean_of, pct, share
 from ..scratch import Scratch
+from .lookup import skew_lookup
 from .ranking import count_standings
 
 
@@ -38,7 +39,8 @@ def endpoint_stats(staged: DataFrame, scratch: Scratch) -> DataFrame:
     """Per day and endpoint: hits by outcome, mean size, rank by hits within the day.
 
     The rank is looked up from the day's distinct hit counts, so no task sorts
-    all endpoints of a day. The aggregate is computed once and kept for both.
+    all endpoints of a day. Most endpoints of a day may share one count, a hit
+    each, so the lookup splits hot counts. The aggregate is kept for both.
     """
     stats = scratch.keep(
         valid(staged)
@@ -53,9 +55,10 @@ def endpoint_stats(staged: DataFrame, scratch: Scratch) -> DataFrame:
         ),
         "endpoints",
     )
-    standings = count_standings(stats, "total_hits", within=["report_date"])
-    ranks = standings.select("report_date", "total_hits", F.col("rank").alias("hit_rank"))
-    return stats.join(ranks, ["report_date", "total_hits"]).select(*stats.columns, "hit_rank")
+    standings = count_standings(stats, "total_hits", ["report_date"], "tied")
+    ranks = standings.select("report_date", "total_hits", F.col("rank").alias("hit_rank"), "tied")
+    found = skew_lookup(stats, scratch.keep(ranks, "ranks"), ["report_date", "total_hits"], "tied", ["endpoint"], "inner")
+    return found.select(*stats.columns, "hit_rank")
 
 
 def ip_days(staged: DataFrame) -> DataFrame:

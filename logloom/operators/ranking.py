@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..scratch import Scratch
 
-def count_standings(groups: DataFrame, count: str, within: Sequence[str] = ()) -> DataFrame:
+def count_standings(groups: DataFrame, count: str, within: Sequence[str] = (), *more: str) -> DataFrame:
     """Per distinct count: its rank from the top, the running total down to it, and the grand total.
 
     All three depend on the counts alone, so equal counts are merged before any
     window runs. Counts that add up to n rows have fewer than sqrt(2n) distinct
     values: about a million for 10^12 rows, however many groups there are.
-    Ties share the rank and, as in a RANGE frame, the running total.
+    Ties share the rank and, as in a RANGE frame, the running total. With
+    `"tied"` as a further argument, the groups of each count are given as well.
     """
     merged = groups.groupBy(*within, count).agg(F.count("*").alias("tied"))
     down = Window.partitionBy(*within).orderBy(F.desc(count))
@@ -24,6 +25,7 @@ def count_standings(groups: DataFrame, count: str, within: Sequence[str] = ()) -
     return merged.select(
         *within,
         count,
+        *more,
         (F.coalesce(F.sum("tied").over(above), F.lit(0)) + 1).alias("rank"),
         F.sum(hits).over(to_here).alias("running_total"),
         F.sum(hits).over(Window.partitionBy(*within)).alias("grand_total"),
