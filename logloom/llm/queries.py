@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logloom.llm import embed_dedup, fingerprint, line_dedup, minhash, mixing, piece_fst, quality, sharding, substring_dedup, token_files
+from logloom.llm import (
+    embed_dedup, fingerprint, line_dedup, merkle, minhash, mixing, piece_fst, quality, sharding, substring_dedup, token_files,
+)
 from logloom.scratch import Scratch
 
 
@@ -65,6 +67,13 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.repeated_lines(_table(spark, folder, "documents"), Scratch(spark))
 
 
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    now = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.merkle_manifest(docs, Scratch(spark), now={"text": now})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash": op1_minhash,
@@ -77,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_passages": op8_passages,
         "op9_mixing": op9_mixing,
         "op10_lines": op10_lines,
+        "op12_merkle": op12_merkle,
     }
 
 
@@ -174,5 +184,60 @@ FROM embeddings e LEFT JOIN counts c ON c.x = e.vec_id LEFT JOIN lowest l ON l.x
 """
 
 
+# Hash trees of three by levels, per source and above the sources; every leaf climbs both. crc32 bit by bit for its last bit.
+MERKLE = r"""
+WITH RECURSIVE hashed AS (
+    SELECT *, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda a, x:
+            list_reduce(range(8), lambda b, i: CASE WHEN b & 1 = 1 THEN xor(b >> 1, 3988292384) ELSE b >> 1 END, xor(a, x)),
+            4294967295) & 1 = 1 AS changed,
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+        replace(text, chr(10), '') AS cut
+    FROM documents),
+leaves AS (
+    SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+           sha256(head || CASE WHEN changed THEN coalesce(strlen(cut) || ':' || cut, '-')
+                               ELSE coalesce(strlen(text) || ':' || text, '-') END) AS folded
+    FROM hashed),
+sources AS (
+    SELECT source, count(*) AS n, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM leaves GROUP BY source),
+placed AS (
+    SELECT l.*, s.tree, s.n, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, folded) - 1 AS pos,
+           row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, leaf, folded) AS rid
+    FROM leaves l JOIN sources s ON l.source IS NOT DISTINCT FROM s.source),
+lower_nodes AS (
+    SELECT tree, 0 AS level, pos, n, leaf AS hash FROM placed
+    UNION ALL
+    SELECT tree, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(hash, '' ORDER BY pos))
+    FROM lower_nodes WHERE n > 1 GROUP BY tree, level, n, pos // 3),
+subroots AS (SELECT tree, hash FROM lower_nodes WHERE n = 1),
+upper_nodes AS (
+    SELECT 0 AS level, tree AS pos, (SELECT count(*) FROM subroots) AS n, hash FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(hash, '' ORDER BY pos))
+    FROM upper_nodes WHERE n > 1 GROUP BY level, n, pos // 3),
+climb AS (
+    SELECT rid, tree, 0 AS level, pos, n, folded, '' AS proof FROM placed
+    UNION ALL
+    SELECT c.rid, c.tree, c.level + 1, c.pos // 3, (c.n + 2) // 3,
+           sha256(string_agg(CASE WHEN s.pos = c.pos THEN c.folded ELSE s.hash END, '' ORDER BY s.pos)),
+           c.proof || coalesce(string_agg(s.hash, '' ORDER BY s.pos) FILTER (s.pos <> c.pos), '')
+    FROM climb c JOIN lower_nodes s ON s.tree = c.tree AND s.level = c.level AND s.pos // 3 = c.pos // 3
+    WHERE c.n > 1 GROUP BY c.rid, c.tree, c.level, c.pos, c.n, c.proof),
+higher AS (
+    SELECT rid, 0 AS level, tree AS pos, (SELECT count(*) FROM subroots) AS n, folded, proof FROM climb WHERE n = 1
+    UNION ALL
+    SELECT c.rid, c.level + 1, c.pos // 3, (c.n + 2) // 3,
+           sha256(string_agg(CASE WHEN s.pos = c.pos THEN c.folded ELSE s.hash END, '' ORDER BY s.pos)),
+           c.proof || coalesce(string_agg(s.hash, '' ORDER BY s.pos) FILTER (s.pos <> c.pos), '')
+    FROM higher c JOIN upper_nodes s ON s.level = c.level AND s.pos // 3 = c.pos // 3
+    WHERE c.n > 1 GROUP BY c.rid, c.level, c.pos, c.n, c.proof),
+root AS (SELECT hash FROM upper_nodes WHERE n = 1)
+SELECT p.doc_id, p.leaf, s.hash AS subroot, r.hash AS root, sha256(h.proof) AS proof_sha256, h.folded AS folded_root,
+       h.folded = r.hash AS verified
+FROM placed p JOIN subroots s USING (tree) JOIN higher h ON h.rid = p.rid AND h.n = 1 CROSS JOIN root r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": NEAR_DUPLICATES, "op6_embeddings": NEAR_VECTORS, "op9_mixing": MIXED}
+    return {"op1_minhash": NEAR_DUPLICATES, "op6_embeddings": NEAR_VECTORS, "op9_mixing": MIXED, "op12_merkle": MERKLE}
