@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logloom.llm import (
-    embed_dedup, fingerprint, line_dedup, merkle, minhash, mixing, piece_fst, quality, sharding, substring_dedup, token_files,
+    embed_dedup, fingerprint, hard_negatives, line_dedup, merkle, minhash, mixing, piece_fst, quality, sharding, substring_dedup, token_files,
 )
 from logloom.scratch import Scratch
 
@@ -74,6 +74,12 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.merkle_manifest(docs, Scratch(spark), now={"text": now})
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, folder, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, Scratch(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash": op1_minhash,
@@ -87,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_mixing": op9_mixing,
         "op10_lines": op10_lines,
         "op12_merkle": op12_merkle,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -239,5 +246,33 @@ FROM placed p JOIN subroots s USING (tree) JOIN higher h ON h.rid = p.rid AND h.
 """
 
 
+# Scores of the anchors with all rows; positives by rank, then the negatives within reach of each by rank.
+HARD_NEGATIVES = r"""
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, row_number() OVER near::INTEGER AS rank, s.vec_id AS negative_id,
+       p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+     AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+WINDOW near AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER near <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash": NEAR_DUPLICATES, "op6_embeddings": NEAR_VECTORS, "op9_mixing": MIXED, "op12_merkle": MERKLE}
+    return {
+        "op1_minhash": NEAR_DUPLICATES,
+        "op6_embeddings": NEAR_VECTORS,
+        "op9_mixing": MIXED,
+        "op12_merkle": MERKLE,
+        "op13_hard_negatives": HARD_NEGATIVES,
+    }
