@@ -220,7 +220,7 @@ def hard_negatives(
         found = found.select("slot", "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score")).join(of_slot, "slot")
         pairs = liked.select(F.col("slot").alias("number"), F.col("score").alias("positive_score"), F.col("id").alias("positive_id"))
         told = found.join(pairs, ["number", "positive_score"])
-        told.select(*[part.split(" ")[0] for part in schema.split(", ")]).write.parquet(f"{folder}/chunk={first // a_chunk}")
+        told.select(*[part.split(" ")[0] for part in schema.split(", ")]).write.parquet(f"{folder}/chunk-{first // a_chunk}")
     if not count:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(folder)
+    return spark.read.schema(schema).parquet(f"{folder}/chunk-*")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logloom.llm import (
     embed_dedup, fingerprint, hard_negatives, line_dedup, merkle, minhash, mixing, piece_fst, quality, sharding, substring_dedup, token_files,
+    warc,
 )
 from logloom.scratch import Scratch
 
@@ -67,6 +68,12 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.repeated_lines(_table(spark, folder, "documents"), Scratch(spark))
 
 
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    captures = warc.capture_index(_table(spark, folder, "pages"), Scratch(spark))
+    names = "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "position"
+    return captures.select(F.col("id").alias("page_id"), *names)
+
+
 def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
@@ -92,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_passages": op8_passages,
         "op9_mixing": op9_mixing,
         "op10_lines": op10_lines,
+        "op11_warc": op11_warc,
         "op12_merkle": op12_merkle,
         "op13_hard_negatives": op13_hard_negatives,
     }
@@ -191,6 +199,27 @@ FROM embeddings e LEFT JOIN counts c ON c.x = e.vec_id LEFT JOIN lowest l ON l.x
 """
 
 
+# The first page of every payload; the key turns the host's labels round.
+ARCHIVED = r"""
+WITH read AS (
+    SELECT page_id, coalesce(html, '') AS payload, lower(trim(url)) AS url FROM pages),
+parts AS (
+    SELECT *, strlen(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+           regexp_extract(url, '^[a-z][a-z0-9+.-]*://([^/?#]*)([^?#]*)(\?[^#]*)?', ['host', 'path', 'query']) AS u
+    FROM read),
+keyed AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload) AS first,
+           array_to_string(list_reverse(string_split(regexp_replace(regexp_replace(u.host, '^www\.', ''), ':(80|443)$', ''), '.')), ',')
+               || ')' || CASE WHEN u.path = '' THEN '/' ELSE u.path END || CASE WHEN u.query = '?' THEN '' ELSE u.query END AS url_key
+    FROM parts)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to,
+       url_key, row_number() OVER (ORDER BY url_key, page_id) - 1 AS position
+FROM keyed
+"""
+
+
 # Hash trees of three by levels, per source and above the sources; every leaf climbs both. crc32 bit by bit for its last bit.
 MERKLE = r"""
 WITH RECURSIVE hashed AS (
@@ -273,6 +302,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_minhash": NEAR_DUPLICATES,
         "op6_embeddings": NEAR_VECTORS,
         "op9_mixing": MIXED,
+        "op11_warc": ARCHIVED,
         "op12_merkle": MERKLE,
         "op13_hard_negatives": HARD_NEGATIVES,
     }

@@ -43,7 +43,8 @@ def brute_force(rows, is_anchor, relabel=lambda i, label: label):
 
 def columns(found):
     names = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
-    rows = [tuple(r) for r in found.select(names).collect()]
+    assert found.columns == names
+    rows = [tuple(r) for r in found.collect()]
     assert len(rows) == len(set(rows))
     return set(rows)
 
