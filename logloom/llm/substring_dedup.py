@@ -25,6 +25,7 @@ from logloom.llm.minhash import packed_texts
 from logloom.llm.text_hash import canonical_words, hashed_spans, scrambled, seeds
 from logloom.scratch import Scratch
 
+SLICE = 256  # documents whose chains are Python objects at once
 WINDOW = 16  # bytes in the gear hash; each is shifted by two bits more than the next
 NEAR = 24  # bytes on either side among which the hash of a chunk's end is the smallest
 LONGEST = 1024  # chunks of text without such a byte, like one letter repeated, are cut at this length
@@ -101,10 +102,10 @@ def repeated_passages(
     amount of white space doesn't matter. start_word (from 0) and n_words give
     the chunks of the run, which lie within the passage; a passage of
     `least_words` words has such a run if it has some 250 bytes or more.
-    other_<id> is a document that has the passage, or a part of a long run, as
-    well; kept says that no
-    document with a smaller id has any of its chains, so that dropping the
-    runs not kept leaves one of each. Text that repeats within one document
+    other_<id> is a document that has `least_words` words of the run as well.
+    kept says that for some of these words, or for words inside the run that
+    nobody else has, no document with a smaller id has them; so dropping the
+    runs not kept loses no passage. Text that repeats within one document
     alone is not reported.
 
     Null and empty texts and texts without repeated passages have no rows, as
@@ -116,7 +117,7 @@ def repeated_passages(
     parts = ("digests", pa.int64()), ("lasts", pa.int32()), ("firsts", pa.int32()), ("words", pa.int32()), ("left", pa.int32()), ("right", pa.int32())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             found = [chains(t.as_py(), chain_words) for t in batch.column("text")]
             columns = list(zip(*found)) or [()] * len(parts)
             arrays = [pa.array(list(c), pa.list_(kind)) for c, (_, kind) in zip(columns, parts)]
@@ -127,43 +128,46 @@ def repeated_passages(
     cuts = rows.mapInArrow(cut, schema).withColumn("row", F.monotonically_increasing_id())
     cuts = work.keep(cuts, "chains", compression="zstd")
     single = cuts.select("id", "row", F.posexplode("digests").alias("place", "digest"))
-    shared = single.groupBy("digest").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    shared = single.groupBy("digest").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("digest")
     met = single.join(work.keep(shared, "shared-chains"), "digest")
-    other = F.when(F.col("low") < F.col("id"), F.col("low")).otherwise(F.col("high"))
-    per_row = met.groupBy("row").agg(F.collect_list(F.struct("place", other.alias("other"))).alias("hits"))
+    per_row = met.groupBy("row").agg(F.collect_list("place").alias("hits"))
     hits = cuts.drop("digests").join(work.keep(per_row, "hits"), "row")
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             ids, out = [], []
-            names = ["lasts", "firsts", "words", "left", "right", "hits", "own"]
+            names = ["lasts", "firsts", "words", "left", "right", "hits"]
             for number, row in enumerate(batch.select(names).to_pylist()):
                 for found in _runs(row, least_words):
                     ids.append(number)
                     out.append(found)
-            columns = list(zip(*out)) or [()] * 5
+            columns = list(zip(*out)) or [()] * 2
             mine = batch.column("id").take(pa.array(ids, pa.int64()))
-            kinds = pa.int64(), pa.int64(), pa.list_(batch.column("id").type), pa.bool_(), pa.bool_()
-            arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([mine, *arrays], names=["id", "start_word", "n_words", "others", "kept", "long"])
+            arrays = [pa.array(c, pa.int64()) for c in columns]
+            yield pa.RecordBatch.from_arrays([mine, *arrays], names=["id", "start_word", "n_words"])
+
+    made = hits.select("id", "lasts", "firsts", "words", "left", "right", "hits")
+    made = work.keep(made.mapInArrow(runs, f"id {id_type}, start_word long, n_words long"), "runs", compression="zstd")
+    checked = _in_long_passages(made, rows, work, least_words)
+    return checked.select(F.col("id").alias(id_column), "start_word", "n_words", F.col("other").alias(f"other_{id_column}"), "kept")
+
 
-    made = hits.select("id", "lasts", "firsts", "words", "left", "right", "hits", F.col("id").alias("own"))
-    schema = f"id {id_type}, start_word long, n_words long, others array<{id_type}>, kept boolean, long boolean"
-    made = work.keep(made.mapInArrow(runs, schema), "runs", compression="zstd")
-    sure = made.where("long").withColumn("other", F.array_min("others"))
-    checked = _in_long_passages(made.select("id", "start_word", "n_words", "kept", "long"), rows, work, least_words)
-    columns = [F.col("id").alias(id_column), "start_word", "n_words", F.col("other").alias(f"other_{id_column}"), "kept"]
-    return sure.select(*columns).unionAll(checked.select(*columns))
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, SLICE):
+            yield batch.slice(first, SLICE)
 
 
 def _in_long_passages(made: DataFrame, rows: DataFrame, work: Scratch, least_words: int) -> DataFrame:
-    """(id, start_word, n_words, kept, other) of the runs that aren't long but have `least_words` words in a row that touch them and are in another document.
+    """(id, start_word, n_words, kept, other) of the runs at which `least_words` words in a row are in another document as well.
 
     Who has the words as well has their chains, too, and so a run that they
     touch: the windows at all runs are grouped by hash, whoever the partners
-    of the chains are. Long runs only give windows for others to meet.
+    of the chains are. Windows reach beyond a run, as passages may; those
+    inside it that nobody shares are text of its own, as between two passages
+    that meet there.
     """
-    spans = made.groupBy("id").agg(F.collect_list(F.struct("start_word", "n_words", "kept", "long")).alias("spans"))
+    spans = made.groupBy("id").agg(F.collect_list(F.struct("start_word", "n_words")).alias("spans"))
     texts = packed_texts(rows).join(work.keep(spans, "run-spans"), "id")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,34 +180,34 @@ def _in_long_passages(made: DataFrame, rows: DataFrame, work: Scratch, least_wor
                     last = min(span["start_word"] + span["n_words"], len(starts) - least_words)
                     if last < first:
                         continue
-                    found = np.unique(hashed_spans(data, starts[first : last + 1], stops[first + least_words - 1 : last + least_words]))
-                    names = ["id", "start_word", "n_words", "kept", "long"]
+                    found = hashed_spans(data, starts[first : last + 1], stops[first + least_words - 1 : last + least_words])
+                    found, where = np.unique(found, return_index=True)
+                    inside = (where + first >= span["start_word"]) & (where + first + least_words <= span["start_word"] + span["n_words"])
                     mine = batch.column("id").take(pa.array(np.full(len(found), row)))
-                    rest = [pa.repeat(pa.scalar(span[n], t), len(found)) for n, t in zip(names[1:], (pa.int64(), pa.int64(), pa.bool_(), pa.bool_()))]
-                    yield pa.RecordBatch.from_arrays([mine, *rest, pa.array(found.view(np.int64))], names=[*names, "window"])
+                    rest = [pa.repeat(pa.scalar(span[n], pa.int64()), len(found)) for n in ("start_word", "n_words")]
+                    arrays = [mine, *rest, pa.array(inside), pa.array(found.view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["id", "start_word", "n_words", "inside", "window"])
 
     kind = made.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, start_word long, n_words long, kept boolean, long boolean, window long"
+    schema = f"id {kind}, start_word long, n_words long, inside boolean, window long"
     found = work.keep(texts.select("id", "text", "spans").mapInArrow(windows, schema), "windows", compression="zstd")
     holders = found.groupBy("window").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
-    met = found.where("NOT long").join(work.keep(holders, "window-holders"), "window")
+    met = found.join(work.keep(holders, "window-holders"), "window", "left")
     other = F.when(F.col("low") < F.col("id"), F.col("low")).otherwise(F.col("high"))
-    return met.groupBy("id", "start_word", "n_words", "kept").agg(F.min(other).alias("other"))
+    first = F.when(F.col("low").isNull(), F.col("inside")).otherwise(F.col("low") == F.col("id"))
+    told = met.groupBy("id", "start_word", "n_words").agg(F.min(other).alias("other"), F.max(first).alias("kept"))
+    return told.where("other IS NOT NULL")
 
 
-def _runs(row: dict, least_words: int) -> Iterator[tuple]:
-    """(first word, words, other documents, kept, long) of the runs of one document that may lie in long enough passages."""
-    hits = sorted((hit["place"], hit["other"]) for hit in row["hits"])
+def _runs(row: dict, least_words: int) -> Iterator[tuple[int, int]]:
+    """(first word, words) of the runs of one document that may lie in long enough passages."""
+    places = sorted(row["hits"])
     at = 0
-    while at < len(hits):
-        first, others, kept = hits[at][0], set(), True
-        last = first
-        while at < len(hits) and hits[at][0] <= last + 1:
-            place, other = hits[at]
-            last = max(last, row["lasts"][place])
-            others.add(other)
-            kept = kept and other > row["own"]
+    while at < len(places):
+        first = last = places[at]
+        while at < len(places) and places[at] <= last + 1:
+            last = max(last, row["lasts"][places[at]])
             at += 1
         words = row["firsts"][last] + row["words"][last] - row["firsts"][first]
         if row["left"][first] + words + row["right"][last] >= least_words:
-            yield row["firsts"][first], words, sorted(others), kept, words >= least_words
+            yield row["firsts"][first], words

@@ -65,6 +65,62 @@ def test_the_first_holder_of_a_chain_has_less_than_the_passage(spark, scratch):
     assert all(r.other_doc_id in (r.doc_id + 1000, r.doc_id - 1000) for r in found)
 
 
+def check_decisions(rows, got):
+    """Every passage keeps a holder; whatever is dropped is in a lower document; partners share 50 words at the run."""
+    texts = {r[0]: r[1].split(" ") for r in rows}
+    windows: dict[int, set] = {i: {" ".join(w[k : k + 50]) for k in range(len(w) - 49)} for i, w in texts.items()}
+    holders: dict[str, list] = {}
+    for i, own in windows.items():
+        for w in own:
+            holders.setdefault(w, []).append(i)
+    for r in got:
+        at = range(max(0, r.start_word - 49), min(r.start_word + r.n_words, len(texts[r.doc_id]) - 49))
+        touching = {" ".join(texts[r.doc_id][k : k + 50]) for k in at}
+        partners = {i for w in touching for i in holders[w]} - {r.doc_id}
+        assert r.other_doc_id == min({min(holders[w]) if min(holders[w]) < r.doc_id else max(holders[w]) for w in touching if len(holders[w]) > 1})
+        assert r.other_doc_id in partners
+    left = {}
+    for i, words in texts.items():
+        gone = {k for r in got if r.doc_id == i and not r.kept for k in range(r.start_word, r.start_word + r.n_words)}
+        left[i] = {" ".join(words[k : k + 50]) for k in range(len(words) - 49) if not gone & set(range(k, k + 50))}
+    kept = set().union(*left.values())
+    for w, ids in holders.items():
+        if len(ids) > 1:
+            assert w in kept, ids
+
+
+def test_a_low_document_with_a_part_keeps_nothing_from_the_others(spark, scratch):
+    rng = random.Random(12)
+    rows = []
+    for k in range(6):
+        passage = sentence(rng, 70).split(" ")
+        for i, words in ((0, 25), (1, 70), (2, 70)):
+            rows.append((100 * i + k, " ".join([sentence(rng, 60), *passage[:words], sentence(rng, 60)]), "en", "a", 0, 0, "k", "c"))
+    got = substring_dedup.repeated_passages(frame(spark, rows), scratch).collect()
+    assert {(r.doc_id, r.other_doc_id, r.kept) for r in got} == {(100 + k, 200 + k, True) for k in range(6)} | {
+        (200 + k, 100 + k, False) for k in range(6)
+    }
+    check_decisions(rows, got)
+
+
+def test_passages_that_meet_in_one_document(spark, scratch):
+    rng = random.Random(13)
+    one, two = sentence(rng, 60), sentence(rng, 60)
+    texts = [f"{sentence(rng, 40)} {one}", f"{two} {sentence(rng, 40)}", f"{sentence(rng, 30)} {one} {two} {sentence(rng, 30)}"]
+    rows = [(i, t, "en", "a", 0, 0, "k", "c") for i, t in enumerate(texts)]
+    got = substring_dedup.repeated_passages(frame(spark, rows), scratch).collect()
+    assert {r.doc_id for r in got} == {0, 1, 2}
+    check_decisions(rows, got)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_nothing_is_dropped_everywhere(spark, scratch, seed):
+    rows = rows_with_passages(seed + 10)
+    got = substring_dedup.repeated_passages(frame(spark, rows), scratch).collect()
+    assert {r.kept for r in got} == {True, False}
+    check_decisions(rows, got)
+
+
 def test_blanks_and_case_do_not_matter(spark, scratch):
     rng = random.Random(9)
     passage = sentence(rng, 80)
