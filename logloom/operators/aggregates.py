@@ -38,11 +38,9 @@ def hourly_traffic(staged: DataFrame) -> DataFrame:
 def endpoint_stats(staged: DataFrame, scratch: Scratch) -> DataFrame:
     """Per day and endpoint: hits by outcome, mean size, rank by hits within the day.
 
-    The rank is looked up from the day's distinct hit counts, so no task sorts
-    all endpoints of a day. Most endpoints of a day may share one count, a hit
-    each, so the lookup splits hot counts. The aggregate is kept for both.
+    See `endpoint_ranks` for the ranks.
     """
-    stats = scratch.keep(
+    return endpoint_ranks(
         valid(staged)
         .where(F.col("endpoint").isNotNull())
         .groupBy(F.col("request_date").alias("report_date"), "endpoint")
@@ -53,8 +51,18 @@ def endpoint_stats(staged: DataFrame, scratch: Scratch) -> DataFrame:
             F.count_if(F.col("status_code") == 404).alias("not_found_hits"),
             mean_of(F.col("response_size")).alias("avg_size"),
         ),
-        "endpoints",
+        scratch,
     )
+
+
+def endpoint_ranks(stats: DataFrame, scratch: Scratch) -> DataFrame:
+    """Adds hit_rank, the rank by total_hits within report_date.
+
+    The rank is looked up from the day's distinct hit counts, so no task sorts
+    all endpoints of a day. Most endpoints of a day may share one count, a hit
+    each, so the lookup splits hot counts. The rows are kept for both.
+    """
+    stats = scratch.keep(stats, "endpoints")
     standings = count_standings(stats, "total_hits", ["report_date"], "tied")
     ranks = standings.select("report_date", "total_hits", F.col("rank").alias("hit_rank"), "tied")
     found = skew_lookup(stats, scratch.keep(ranks, "ranks"), ["report_date", "total_hits"], "tied", ["endpoint"], "inner")
@@ -78,15 +86,22 @@ def ip_days(staged: DataFrame) -> DataFrame:
 
 
 def volume_thresholds(days: DataFrame, fractions: tuple[float, ...]) -> DataFrame:
-    """One row, one array: interpolated percentiles of `total_requests` over all days and clients.
+    """One row, one array: interpolated percentiles of `total_requests` over all days and clients."""
+    return thresholds_of(volumes(days), fractions)
 
-    Equal counts are merged first; see `count_standings` for how few remain.
-    """
-    merged = days.groupBy("total_requests").agg(F.count("*").alias("tied"))
+
+def thresholds_of(histograms: DataFrame, fractions: tuple[float, ...]) -> DataFrame:
+    """`volume_thresholds` from `volumes`. Equal counts are merged first; see `count_standings` for how few remain."""
+    merged = histograms.groupBy("total_requests").agg(F.sum("tied").alias("tied"))
     at = F.array(*[F.lit(f) for f in fractions])
     return merged.agg(F.percentile("total_requests", at, F.col("tied")).alias("thresholds"))
 
 
+def volumes(days: DataFrame) -> DataFrame:
+    """Per day the histogram of its clients' `total_requests`; histograms of days add up."""
+    return days.groupBy("request_date", "total_requests").agg(F.count("*").alias("tied"))
+
+
 def ip_anomalies(
     days: DataFrame, watch: float = 0.95, alarm: float = 0.99, error_limit: float = 50
 ) -> DataFrame:
@@ -97,8 +112,13 @@ def ip_anomalies(
     written table since it is read for both.
     """
     limits = volume_thresholds(days, (watch, alarm))
-    above_watch = F.col("total_requests") > limits.scalar()[0]
-    above_alarm = F.col("total_requests") > limits.scalar()[1]
+    return anomalies_above(days, limits.scalar()[0], limits.scalar()[1], error_limit)
+
+
+def anomalies_above(days: DataFrame, watch: Column, alarm: Column, error_limit: float = 50) -> DataFrame:
+    """`ip_anomalies` with given limits of volume; each row depends on itself and the limits alone."""
+    above_watch = F.col("total_requests") > watch
+    above_alarm = F.col("total_requests") > alarm
     failing = F.col("error_rate") > error_limit
     reason = F.when(above_alarm, "Volume > p99 threshold").when(failing, "Error rate > 50%")
     return (

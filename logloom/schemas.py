@@ -110,6 +110,27 @@ IP_DAYS = _schema(
 )
 
 
+# Per day: how many clients made so many requests.
+VOLUME_DAYS = _schema(("request_date", T.DateType()), ("total_requests", T.LongType()), ("tied", T.LongType()))
+
+# What a load adds; see operators.partials. Split by day and load.
+_SIZES = (("bytes", T.LongType()), ("sized", T.LongType()))
+PARTIALS = {
+    "hour_clients": _schema(
+        ("request_hour", T.IntegerType()), ("ip_address", T.StringType()), ("requests", T.LongType()), ("errors", T.LongType()),
+        *_SIZES, ("bots", T.LongType()), ("request_date", T.DateType()), ("load_id", T.LongType()),
+    ),
+    "endpoint_days": _schema(
+        ("endpoint", T.StringType()), ("hits", T.LongType()), ("successes", T.LongType()), ("errors", T.LongType()),
+        ("not_found", T.LongType()), *_SIZES, ("request_date", T.DateType()), ("load_id", T.LongType()),
+    ),
+    "client_endpoints": _schema(
+        ("ip_address", T.StringType()), ("endpoint", T.StringType()), ("requests", T.LongType()), ("errors", T.LongType()),
+        ("bots", T.LongType()), ("request_date", T.DateType()), ("load_id", T.LongType()),
+    ),
+}
+
+
 @dataclass(frozen=True)
 class Table:
     """A keyed table: its files are split by day, or by month where a day holds few rows."""
@@ -128,4 +149,5 @@ TABLES = {
     "agg_ip_anomalies": Table(IP_ANOMALIES, ("report_date", "ip_address"), "report_date"),
     "data_quality_report": Table(DATA_QUALITY, ("report_date",), "report_date", by_month=True),
     "ip_days": Table(IP_DAYS, ("request_date", "ip_address"), "request_date"),
+    "volume_days": Table(VOLUME_DAYS, ("request_date", "total_requests"), "request_date"),
 }

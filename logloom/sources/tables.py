@@ -10,13 +10,18 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from .. import schemas
 from ..operators.ingest import parse_lines, parse_rejects, stage_logs, with_ids
-from ..operators.merge import upsert
+from ..operators.merge import changes, upsert
 from ..scratch import Scratch, hadoop_path, path_exists
 
 # The folder of staged requests without a date.
 UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
 
+def _any_of(values: list) -> str:
+    """A pattern for one of the values; it matches nothing if there are none."""
+    return "{" + ",".join(str(value) for value in values) + "}" if values else "none"
+
+
 @dataclass(frozen=True)
 class Load:
     load_id: int
@@ -30,6 +35,10 @@ class LogTables:
     A folder that does not exist yet reads as an empty table of its schema. Of
     a table, only the folders asked for are listed, so that a day or a load
     costs the same however many there are.
+
+    The parts of keyed tables, days or months, are never written in place: a
+    write makes folders of a new version, and a list of the folders that count
+    is published last. Readers see the table before or after, never between.
     """
 
     def __init__(self, spark: SparkSession, root: str, scratch: Scratch | None = None):
@@ -40,29 +49,33 @@ class LogTables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _read(self, name: str, schema: T.StructType, parts: list[str] | None = None) -> DataFrame:
+    def _read(self, name: str, schema: T.StructType, parts: str | None = None) -> DataFrame:
+        """A table, or those of its folders that a pattern matches: found in one call, however many."""
         folder = self.path(name)
-        paths = [folder] if parts is None else [f"{folder}/{part}" for part in parts]
-        paths = [path for path in paths if path_exists(self.spark, path)]
+        if parts is None:
+            paths = [folder] if path_exists(self.spark, folder) else []
+        else:
+            paths = [path.toString() for path in self._listed(f"{name}/{parts}")]
         if paths:
             return self.spark.read.schema(schema).option("basePath", folder).parquet(*paths)
         return self.spark.createDataFrame([], schema)
 
     def raw(self, loads: list[int] | None = None) -> DataFrame:
         """All raw requests, or those of some loads."""
-        parts = None if loads is None else [f"load_id={load_id}" for load_id in loads]
+        parts = None if loads is None else f"load_id={_any_of(loads)}"
         return self._read("raw_logs", schemas.RAW, parts).select(*schemas.RAW.names)
 
     def staged(self, days: list[dt.date] | None = None, loads: list[int] | None = None) -> DataFrame:
         """All staged requests, or those of some days, or of some loads on these days."""
-        parts = None if days is None else [f"request_date={day}" for day in days]
+        parts = None if days is None else f"request_date={_any_of(days)}"
         if parts is not None and loads is not None:
-            parts = [f"{part}/load_id={load_id}" for part in parts for load_id in loads]
+            parts = f"{parts}/load_id={_any_of(loads)}"
         rows = self._read("stg_logs", schemas.STAGED, parts).select(*schemas.STAGED.names)
         return rows if loads is None else rows.where(F.col("load_id").isin(loads))
 
-    def table(self, name: str) -> DataFrame:
-        return self._parts(name).select(*schemas.TABLES[name].schema.names)
+    def table(self, name: str, parts: list[dt.date] | None = None) -> DataFrame:
+        """A keyed table, or some of its parts: days, or first days of months where it is split by month."""
+        return self._parts(name, parts).select(*schemas.TABLES[name].schema.names)
 
     # -- loading -----------------------------------------------------------
 
@@ -74,8 +87,8 @@ class LogTables:
         return path_exists(self.spark, f"{self.path(name)}/load_id={load_id}/_SUCCESS")
 
     def _newest_first(self, name: str) -> Iterator[int]:
-        begun = [int(path.getName().split("=")[1]) for path in self._listed(f"{name}/load_id=*")]
-        return (load_id for load_id in sorted(begun, reverse=True) if self.is_finished(name, load_id))
+        marks = self._listed(f"{name}/load_id=*/_SUCCESS")
+        return iter(sorted((int(mark.getParent().getName().split("=")[1]) for mark in marks), reverse=True))
 
     def loads(self, name: str) -> list[int]:
         """The finished loads of `raw_logs`, `staged` or `refreshed`, from the folder listing alone."""
@@ -181,12 +194,57 @@ class LogTables:
             return rows
         return rows.withColumn("month", F.trunc(table.date_column, "month"))
 
-    def _parts(self, name: str) -> DataFrame:
+    def _lists(self, name: str) -> list[int]:
+        """The versions whose lists are published, the last one first."""
+        return sorted((int(path.getName()) for path in self._listed(f"{name}/_parts/*")), reverse=True)
+
+    def _folders(self, name: str, version: int) -> dict[str, str]:
+        """Part and folder of all parts that count in a version: one line a part."""
+        fs, hpath = hadoop_path(self.spark, f"{self.path(name)}/_parts/{version}")
+        stream = fs.open(hpath)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return dict(line.split("\t") for line in text.splitlines())
+
+    def _parts(self, name: str, parts: list[dt.date] | None = None) -> DataFrame:
         table = schemas.TABLES[name]
         schema = table.schema
         if table.by_month:
             schema = T.StructType([*schema.fields, T.StructField("month", T.DateType())])
-        return self._read(name, schema)
+        versions = self._lists(name)
+        folders = self._folders(name, versions[0]) if versions else {}
+        wanted = folders if parts is None else {str(part) for part in parts} & folders.keys()
+        paths = [f"{self.path(name)}/{folders[part]}" for part in wanted]
+        if paths:
+            rows = self.spark.read.schema(schema).option("basePath", self.path(name)).parquet(*paths)
+            return rows.select(*schema.names)  # without the version
+        return self.spark.createDataFrame([], schema)
+
+    def _publish(self, name: str, rows: DataFrame) -> None:
+        """Write rows that hold all rows of the parts they fall in, then put these parts in place of the ones before."""
+        part = self._part_column(name)
+        versions = self._lists(name)
+        version = versions[0] + 1 if versions else 1
+        folder = f"v={version}"
+        # what an attempt that was not published left in the folder is replaced
+        rows.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(f"{self.path(name)}/{folder}")
+        before = self._folders(name, versions[0]) if versions else {}
+        written = [path.getName() for path in self._listed(f"{name}/{folder}/{part}=*")]
+        after = before | {new.split("=")[1]: f"{folder}/{new}" for new in written}
+        fs, draft = hadoop_path(self.spark, f"{self.path(name)}/_draft-{version}")
+        out = fs.create(draft, True)
+        out.write("".join(f"{k}\t{v}\n" for k, v in after.items()).encode())
+        out.close()
+        lists = hadoop_path(self.spark, f"{self.path(name)}/_parts")[1]
+        fs.mkdirs(lists)
+        fs.rename(draft, hadoop_path(self.spark, f"{self.path(name)}/_parts/{version}")[1])
+        # readers of the version before keep their files; older lists and what only they name go
+        for old in versions[1:]:
+            for unused in set(self._folders(name, old).values()) - set(before.values()) - set(after.values()):
+                fs.delete(hadoop_path(self.spark, f"{self.path(name)}/{unused}")[1], True)
+            fs.delete(hadoop_path(self.spark, f"{self.path(name)}/_parts/{old}")[1], False)
 
     def _replace_parts(self, name: str, rows: DataFrame, *part_columns: str) -> None:
         """Write the rows in place of the parts they fall in."""
@@ -198,20 +256,49 @@ class LogTables:
 
     def replace_days(self, name: str, rows: DataFrame) -> None:
         """Write rows that hold every key of the days they fall on, of a table split by day."""
-        part = schemas.TABLES[name].date_column
-        self._replace_parts(name, self._typed(name, rows).hint("rebalance", part), part)
+        self._publish(name, self._typed(name, rows))
 
-    def upsert(self, name: str, source: DataFrame) -> None:
-        """Insert or update the source's rows by the table's key, rewriting only the parts they fall in."""
+    def upsert(self, name: str, source: DataFrame) -> int:
+        """Insert or update the source's rows by the table's key; returns how many differ from what is there.
+
+        Only parts with such rows are written, once; if there are none,
+        nothing is.
+        """
         table = schemas.TABLES[name]
         part = self._part_column(name)
         source = self.scratch.keep(self._with_part(name, self._typed(name, source)), f"{name}-new")
-        if path_exists(self.spark, self.path(name)):
-            touched = [row[0] for row in source.select(part).distinct().collect()]  # days or months
-            # Written aside first: a folder cannot be replaced while it is read.
-            merged = upsert(self._parts(name).where(F.col(part).isin(touched)), source, table.keys)
-            source = self.scratch.keep(merged, f"{name}-merged")
-        self._replace_parts(name, source.hint("rebalance", part), part)
+        parts = [row[0] for row in source.select(part).distinct().collect()]  # days or months
+        target = self._parts(name, parts)
+        new = self.scratch.keep(changes(target, source, table.keys), f"{name}-changes")
+        counts = {row[0]: row[1] for row in new.groupBy(part).count().collect()}
+        if counts:
+            self._publish(name, upsert(self._parts(name, list(counts)), new, table.keys))
+        return sum(counts.values())
+
+    # -- partial aggregates ------------------------------------------------
+
+    def add_partials(self, name: str, rows: DataFrame) -> None:
+        """Keep what loads add, by day and load. Done again for a load, it replaces what it wrote."""
+        schema = schemas.PARTIALS[name]
+        typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        self._replace_parts(name, typed.hint("rebalance", "request_date"), "request_date", "load_id")
+
+    def partials(self, name: str, days: list[dt.date]) -> DataFrame:
+        """What all loads added to some days."""
+        return self._read(name, schemas.PARTIALS[name], f"request_date={_any_of(days)}")
+
+    # -- limits ------------------------------------------------------------
+
+    def limits(self) -> list[float] | None:
+        """The limits of volume that the anomalies were made with."""
+        path = f"{self.path('limits')}/last"
+        if not path_exists(self.spark, path):
+            return None
+        return [row[0] for row in self.spark.read.schema("value double, place int").parquet(path).orderBy("place").collect()]
+
+    def set_limits(self, limits: list[float]) -> None:
+        rows = self.spark.createDataFrame(list(zip(limits, range(len(limits)))), "value double, place int")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path('limits')}/last")
 
     def register_views(self) -> None:
         """All layers as temporary views, for SQL."""
