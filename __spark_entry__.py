@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # n
 
 from logloom.operators import aggregates, ingest  # noqa: E402
 from logloom.plans import latency, reports, traffic  # noqa: E402
-from logloom.plans.build import build_tables  # noqa: E402
+from logloom.plans.build import REPORTED, build_tables  # noqa: E402
 from logloom.scratch import Scratch, shared_folder  # noqa: E402
 from logloom.session import let_workers_import  # noqa: E402
 from logloom.sources.events import GROUPED_PATHS, LOG_LINE, log_lines, read_events, requests  # noqa: E402
@@ -170,6 +170,18 @@ def log_to_anomalies(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(_built(spark, folder, Scratch(spark)).table("agg_ip_anomalies"))
 
 
+def log_to_all(spark: SparkSession, folder: str) -> DataFrame:
+    """All four tables of one build as rows of text."""
+    tables = _built(spark, folder, Scratch(spark))
+
+    def texts(name: str) -> DataFrame:
+        rows = tables.table(name)
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in rows.columns]
+        return rows.select(F.lit(name).alias("name"), F.concat_ws("|", *values).alias("row"))
+
+    return functools.reduce(DataFrame.unionAll, [texts(name) for name in REPORTED])
+
+
 def aggregate_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     scratch = Scratch(spark)
     rows = staged(spark, folder)
@@ -304,6 +316,26 @@ def streamed_hourly_traffic(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(_streamed(spark, folder, stream_hourly_traffic).table("agg_hourly_traffic"))
 
 
+def streamed_far_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """As `streamed_hourly_traffic`, with some requests stamped 75 years ahead in the first files."""
+    scratch = Scratch(spark)
+    tables, path, checkpoint = tables_in(scratch), scratch.path("log"), scratch.path("checkpoint")
+    rows = raw(spark, folder)
+    far = rows.where("id % 100 = 13").withColumn("requested_at", F.expr("requested_at + interval 75 years"))
+    for part in (far.unionByName(rows.where(f"NOT ({MIDDLE})")), rows.where(MIDDLE)):
+        log_lines(part).write.mode("append").text(path)
+        stream_hourly_traffic(stream_log(spark, path), tables, checkpoint, until_caught_up=True).awaitTermination()
+    return comparable(tables.table("agg_hourly_traffic"))
+
+
+def streamed_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines that a stream over a damaged log leaves out."""
+    scratch = Scratch(spark)
+    tables, path = tables_in(scratch), log_file(damaged_lines(spark, folder), scratch)
+    stream_ingest(stream_log(spark, path), tables, scratch.path("checkpoint"), until_caught_up=True).awaitTermination()
+    return tables.rejects().select("value")
+
+
 def streamed_closed_hours(spark: SparkSession, folder: str) -> DataFrame:
     """Hours closed by the watermark, two hours after the latest request."""
     scratch = Scratch(spark)
@@ -385,6 +417,7 @@ def log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert": upsert,
         "log_to_tables": log_to_tables,
         "log_to_anomalies": log_to_anomalies,
+        "log_to_all": log_to_all,
         "report_data_quality": report_data_quality,
         "report_top_endpoints": report_top_endpoints,
         "report_hourly_traffic": report_hourly_traffic,
@@ -409,6 +442,8 @@ def log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest": streamed_staging,
         "stream_hourly_traffic": streamed_hourly_traffic,
         "stream_closed_hours": streamed_closed_hours,
+        "stream_far_hours": streamed_far_hours,
+        "stream_rejects": streamed_rejects,
     }
 
 

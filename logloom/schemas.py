@@ -30,6 +30,8 @@ RAW = _schema(
     ("load_id", T.LongType()),
 )
 
+REJECTS = _schema(("load_id", T.LongType()), ("value", T.StringType()))
+
 STAGED = _schema(
     ("id", T.LongType()),
     ("ip_address", T.StringType()),

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # tasks write rows to the folders of few loads or days without sorting them first
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.sql.session.timeZone": "UTC",
 }
 

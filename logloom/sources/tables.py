@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from .. import schemas
-from ..operators.ingest import parse_lines, parse_rejects, stage_logs, with_ids
+from ..operators.ingest import parse_lines, stage_logs, with_ids
 from ..operators.merge import changes, upsert
 from ..scratch import Scratch, hadoop_path, path_exists
 
@@ -22,6 +22,10 @@ def _any_of(values: list) -> str:
     return "{" + ",".join(str(value) for value in values) + "}" if values else "none"
 
 
+def _loads(loads: list[int] | None) -> str:
+    return "load_id=*" if loads is None else f"load_id={_any_of(loads)}"
+
+
 @dataclass(frozen=True)
 class Load:
     load_id: int
@@ -62,8 +66,11 @@ class LogTables:
 
     def raw(self, loads: list[int] | None = None) -> DataFrame:
         """All raw requests, or those of some loads."""
-        parts = None if loads is None else f"load_id={_any_of(loads)}"
-        return self._read("raw_logs", schemas.RAW, parts).select(*schemas.RAW.names)
+        return self._read("raw_logs", schemas.RAW, f"{_loads(loads)}/accepted=true").select(*schemas.RAW.names)
+
+    def rejects(self, loads: list[int] | None = None) -> DataFrame:
+        """The lines that loads, also those of streams, left out: load_id, value."""
+        return self._read("raw_logs", schemas.REJECTS, f"{_loads(loads)}/accepted=false").select(*schemas.REJECTS.names)
 
     def staged(self, days: list[dt.date] | None = None, loads: list[int] | None = None) -> DataFrame:
         """All staged requests, or those of some days, or of some loads on these days."""
@@ -105,65 +112,83 @@ class LogTables:
         return max([next(self._newest_first("raw_logs"), 0), *given]) + 1
 
     def load_of_batch(self, stream: str, batch_id: int) -> int:
-        """The load number of a batch of a stream; the same one whenever it is asked for again."""
-        folder = f"stream_batches/{stream}-{batch_id}"
-        given = self._listed(f"{folder}/load_id=*")
+        """The load number of a batch of a stream; the same one whenever it is asked for again.
+
+        Only the last batch of a stream can come again, so notes of earlier
+        ones are dropped and their listing stays short.
+        """
+        given = self._listed(f"stream_batches/{stream}-{batch_id}/load_id=*")
         if given:
             return int(given[0].getName().split("=")[1])
         load_id = self.next_load()
-        fs, hpath = hadoop_path(self.spark, f"{self.root}/{folder}/load_id={load_id}")
+        fs, hpath = hadoop_path(self.spark, f"{self.root}/stream_batches/{stream}-{batch_id}/load_id={load_id}")
         fs.mkdirs(hpath)
+        for note in self._listed(f"stream_batches/{stream}-*"):
+            if int(note.getName().rsplit("-", 1)[1]) < batch_id - 1:
+                fs.delete(note, True)
         return load_id
 
     def _first_free_id(self) -> int:
-        # Ids grow from load to load, so the last load with any rows decides.
+        # Ids grow from load to load, and a load notes the first one after its own.
         for load_id in self._newest_first("raw_logs"):
+            noted = self._listed(f"raw_logs/load_id={load_id}/_next_id=*")
+            if noted:
+                return int(noted[0].getName().split("=")[1])
             last = self.raw([load_id]).agg(F.max("id")).first()[0]
             if last is not None:
                 return last + 1
         return 1
 
     def load(self, lines: DataFrame, load_id: int | None = None, rejects_path: str | None = None) -> Load:
-        """Append the accepted lines as one load, in one pass, and count the rejected ones.
+        """Append the lines as one load, accepted and rejected ones side by side, in one pass, and count both.
 
         Nothing stops the same file from being loaded twice. An unfinished load
         of the same number is replaced. With `rejects_path`, rejected lines are
-        kept there, which reads the lines a second time if there are any.
+        written there as text as well.
         """
         if load_id is None:
             load_id = self.next_load()
         elif self.is_finished("raw_logs", load_id):
             raise ValueError(f"load {load_id} is finished")
+        first_id = self._first_free_id()
         counts = Observation()
-        parsed = parse_lines(lines).observe(
+        parsed = with_ids(parse_lines(lines), first_id).observe(
             counts,
             F.count("*").alias("lines"),
             F.count_if(~F.col("parse_ok")).alias("rejected"),
+            F.max("id").alias("last_id"),
         )
-        rows = with_ids(parsed.where("parse_ok"), self._first_free_id())
-        stored = [F.col(name) for name in schemas.RAW.names if name not in ("load_id", "ingested_at")]
-        rows.select(*stored, F.current_timestamp().alias("ingested_at")).write.mode("overwrite").parquet(
-            f"{self.path('raw_logs')}/load_id={load_id}"
-        )
+        accepted = F.col("parse_ok")
+        stored = [F.when(accepted, F.col(n)).alias(n) for n in schemas.RAW.names if n not in ("load_id", "ingested_at")]
+        rows = parsed.select(
+            *stored, F.when(accepted, F.current_timestamp()).alias("ingested_at"), F.when(~accepted, F.col("value")).alias("value"),
+            accepted.alias("accepted"),
+        )
+        folder = f"{self.path('raw_logs')}/load_id={load_id}"
+        rows.write.mode("overwrite").partitionBy("accepted").parquet(folder)
         seen = counts.get
+        next_id = first_id if seen["last_id"] is None else seen["last_id"] + 1
+        fs, hpath = hadoop_path(self.spark, f"{folder}/_next_id={next_id}")
+        fs.create(hpath, True).close()
         if rejects_path and seen["rejected"]:
-            parse_rejects(lines).write.mode("append").text(rejects_path)
+            self.rejects([load_id]).select("value").write.mode("append").text(rejects_path)
         return Load(load_id, seen["lines"] - seen["rejected"], seen["rejected"])
 
     # -- staging -----------------------------------------------------------
 
-    def stage(self, load_id: int, spread_days: bool = False) -> None:
-        """Stage one load, by day. Done again, it replaces what it wrote.
+    def stage(self, loads: list[int], spread_days: bool = False) -> None:
+        """Stage some loads in one job, by day. Done again, it replaces what it wrote.
 
         No shuffle: a log file covers few days, so every task writes few files.
         Set `spread_days` for a backfill whose files mix many days; rows are
         then gathered by day, big days over several tasks.
         """
-        rows = stage_logs(self.raw([load_id]))
+        rows = stage_logs(self.raw(loads))
         if spread_days:
             rows = rows.hint("rebalance", "request_date")
         self._replace_parts("stg_logs", rows, "request_date", "load_id")
-        self.mark("staged", load_id)
+        for load_id in loads:
+            self.mark("staged", load_id)
 
     def stage_new(self, spread_days: bool = False) -> list[int]:
         """Stage the loads not staged yet, and return them.
@@ -172,8 +197,8 @@ class LogTables:
         without comparing ids.
         """
         fresh = sorted(set(self.loads("raw_logs")) - set(self.loads("staged")))
-        for load_id in fresh:
-            self.stage(load_id, spread_days)
+        if fresh:
+            self.stage(fresh, spread_days)
         return fresh
 
     def days_of(self, loads: list[int]) -> list[dt.date]:

@@ -28,7 +28,7 @@ def _run(
         load_id = tables.load_of_batch(stream, batch_id)
         if not tables.is_finished("raw_logs", load_id):
             tables.load(batch, load_id)
-        tables.stage(load_id)
+        tables.stage([load_id])
         if after:
             after([load_id])
 
@@ -41,6 +41,8 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Append each batch of lines to the raw and staged tables, beside what other loads put there.
 
+    Rejected lines are kept as well, see `LogTables.rejects`; the numbers of
+    lines and rejected ones are metrics observed in each batch's write.
     One stream or build writes to a root at a time.
     """
     return _run(lines, tables, checkpoint, None, until_caught_up)
@@ -49,8 +51,12 @@ def stream_ingest(
 def stream_hourly_traffic(
     lines: DataFrame, tables: LogTables, checkpoint: str, until_caught_up: bool = False
 ) -> StreamingQuery:
-    """As `stream_ingest`, and recompute the hourly traffic of the hours each batch touches.
+    """As `stream_ingest`, and add each batch to the hourly traffic.
 
-    Exact at any lateness: a late request changes its hour again.
+    The state of the hours, what each batch adds per hour and client, is kept
+    in the table `hour_clients`, so every hour is there while it is still
+    open, a request however late changes its hour again, and one stamped far
+    ahead closes nothing. A batch reads its own requests and the state of the
+    days it touches.
     """
     return _run(lines, tables, checkpoint, lambda loads: refresh_hourly(tables, loads), until_caught_up)

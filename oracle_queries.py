@@ -293,6 +293,41 @@ CLOSED_HOURS = f"""
     WHERE CAST(request_date AS TIMESTAMP) + to_hours(request_hour + 1)
           <= (SELECT max(requested_at) FROM ({LOGGED}) WHERE is_valid) - INTERVAL 2 HOUR"""
 
+FAR = "requested_at + INTERVAL 75 YEAR"
+WITH_FAR = f"""
+    SELECT * FROM ({LOGGED}) UNION ALL
+    SELECT * REPLACE ({FAR} AS requested_at, CAST({FAR} AS DATE) AS request_date) FROM ({LOGGED}) WHERE id % 100 = 13"""
+
+
+def as_text(name: str, rows: str, *values: str) -> str:
+    return f"SELECT '{name}' AS name, {cells(*values)} AS row FROM ({rows})"
+
+
+ALL_TABLES = " UNION ALL ".join(
+    [
+        as_text(
+            "agg_hourly_traffic", hourly(HALF_TWICE),
+            text("request_date"), text("request_hour"), text("total_requests"), text("unique_ips"),
+            text("error_count"), two("error_rate"), two("avg_response_size"), text("bot_requests"),
+        ),
+        as_text(
+            "agg_endpoint_stats", endpoints(HALF_TWICE),
+            text("report_date"), "endpoint", text("total_hits"), text("success_hits"),
+            text("error_hits"), text("not_found_hits"), two("avg_size"), text("hit_rank"),
+        ),
+        as_text(
+            "agg_ip_anomalies", ANOMALIES_KEPT,
+            text("report_date"), "ip_address", text("total_requests"), text("error_requests"),
+            two("error_rate"), text("unique_endpoints"), text("is_suspicious"), "coalesce(anomaly_reason, '-')",
+        ),
+        as_text(
+            "data_quality_report", quality(HALF_TWICE),
+            text("report_date"), text("total_raw"), text("total_valid"), text("total_invalid"), two("invalid_rate"),
+            text("null_ip_count"), text("invalid_method"), text("invalid_status"), text("duplicate_count"), two("quality_score"),
+        ),
+    ]
+)
+
 FUNNEL_PATHS = f"""
     SELECT request_date, count(*) FILTER (WHERE path IN ('/index.html', '/')) AS home_visits,
            count(*) FILTER (WHERE path LIKE '/products%') AS product_views,
@@ -338,6 +373,7 @@ ORACLES = {
     "upsert": MERGED_HOURLY,
     "log_to_tables": f"SELECT {QUALITY_COLUMNS} FROM ({quality(HALF_TWICE)})",
     "log_to_anomalies": ANOMALIES_KEPT,
+    "log_to_all": ALL_TABLES,
     "report_data_quality": f"""
         SELECT {QUALITY_COLUMNS}
         FROM (SELECT * FROM ({quality(REPEATED)}) ORDER BY report_date DESC LIMIT 30)""",
@@ -485,4 +521,6 @@ ORACLES = {
         SELECT {STAGED_COLUMNS}, {time("requested_at")} AS requested_at, response_ms FROM ({LOGGED})""",
     "stream_hourly_traffic": f"SELECT {HOURLY_COLUMNS} FROM ({hourly(LOGGED)})",
     "stream_closed_hours": CLOSED_HOURS,
+    "stream_far_hours": f"SELECT {HOURLY_COLUMNS} FROM ({hourly(WITH_FAR)})",
+    "stream_rejects": DAMAGED_LINES,
 }
