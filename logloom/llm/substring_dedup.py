@@ -141,13 +141,13 @@ def repeated_passages(
                 for found in _runs(row, least_words):
                     ids.append(number)
                     out.append(found)
-            columns = list(zip(*out)) or [()] * 2
+            columns = list(zip(*out)) or [()] * 4
             mine = batch.column("id").take(pa.array(ids, pa.int64()))
             arrays = [pa.array(c, pa.int64()) for c in columns]
-            yield pa.RecordBatch.from_arrays([mine, *arrays], names=["id", "start_word", "n_words"])
+            yield pa.RecordBatch.from_arrays([mine, *arrays], names=["id", "start_word", "n_words", "left", "right"])
 
     made = hits.select("id", "lasts", "firsts", "words", "left", "right", "hits")
-    made = work.keep(made.mapInArrow(runs, f"id {id_type}, start_word long, n_words long"), "runs", compression="zstd")
+    made = work.keep(made.mapInArrow(runs, f"id {id_type}, start_word long, n_words long, left long, right long"), "runs", compression="zstd")
     checked = _in_long_passages(made, rows, work, least_words)
     return checked.select(F.col("id").alias(id_column), "start_word", "n_words", F.col("other").alias(f"other_{id_column}"), "kept")
 
@@ -163,11 +163,11 @@ def _in_long_passages(made: DataFrame, rows: DataFrame, work: Scratch, least_wor
 
     Who has the words as well has their chains, too, and so a run that they
     touch: the windows at all runs are grouped by hash, whoever the partners
-    of the chains are. Windows reach beyond a run, as passages may; those
-    inside it that nobody shares are text of its own, as between two passages
-    that meet there.
+    of the chains are. Windows reach beyond a run as far as passages may, for
+    one that reached further would hold another chain; those inside it that
+    nobody shares are text of its own, as between two passages that meet there.
     """
-    spans = made.groupBy("id").agg(F.collect_list(F.struct("start_word", "n_words")).alias("spans"))
+    spans = made.groupBy("id").agg(F.collect_list(F.struct("start_word", "n_words", "left", "right")).alias("spans"))
     texts = packed_texts(rows).join(work.keep(spans, "run-spans"), "id")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,8 +176,8 @@ def _in_long_passages(made: DataFrame, rows: DataFrame, work: Scratch, least_wor
             for row in range(batch.num_rows):
                 data, starts, stops = canonical_words(grow.decompress(batch.column("text")[row].as_py()).decode("utf-8"))
                 for span in batch.column("spans")[row].as_py():
-                    first = max(0, span["start_word"] - least_words + 1)
-                    last = min(span["start_word"] + span["n_words"], len(starts) - least_words)
+                    end = min(span["start_word"] + span["n_words"] + span["right"], len(starts))
+                    first, last = max(0, span["start_word"] - span["left"]), end - least_words
                     if last < first:
                         continue
                     found = hashed_spans(data, starts[first : last + 1], stops[first + least_words - 1 : last + least_words])
@@ -199,8 +199,8 @@ def _in_long_passages(made: DataFrame, rows: DataFrame, work: Scratch, least_wor
     return told.where("other IS NOT NULL")
 
 
-def _runs(row: dict, least_words: int) -> Iterator[tuple[int, int]]:
-    """(first word, words) of the runs of one document that may lie in long enough passages."""
+def _runs(row: dict, least_words: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first word, words, words a passage may reach before and behind) of the runs of one document that may lie in long enough passages."""
     places = sorted(row["hits"])
     at = 0
     while at < len(places):
@@ -210,4 +210,4 @@ def _runs(row: dict, least_words: int) -> Iterator[tuple[int, int]]:
             at += 1
         words = row["firsts"][last] + row["words"][last] - row["firsts"][first]
         if row["left"][first] + words + row["right"][last] >= least_words:
-            yield row["firsts"][first], words
+            yield row["firsts"][first], words, row["left"][first], row["right"][last]
