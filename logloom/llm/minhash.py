@@ -150,10 +150,10 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, work: Scratch, *, id_column: str = "doc_id", **options) -> DataFrame:
-    """The rows of `docs` that are kept, with all their columns; rows of one id stay or go together."""
+    """The rows of `docs` that are kept, with all their columns, whatever their names; rows of one id stay or go together."""
     found = near_duplicates(docs, work, id_column=id_column, **options)
     gone = work.keep(found.where("NOT kept").select(F.col(id_column).alias("gone_id")).distinct(), "gone")
-    return docs.join(gone, F.col(id_column) == F.col("gone_id"), "left_anti")
+    return docs.alias("d").join(gone.alias("g"), F.col(f"d.`{id_column}`") == F.col("g.gone_id"), "left_anti")
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:

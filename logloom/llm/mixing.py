@@ -136,13 +136,14 @@ def mix(
 def take_mix(
     docs: DataFrame, work: Scratch, *, id_column: str = "doc_id", text_column: str = "text", **options
 ) -> DataFrame:
-    """The rows of `docs` as often as the mix takes them, with all their columns.
+    """The rows of `docs` as often as the mix takes them, with all their columns, whatever their names.
 
     Rows that agree in id and text are all taken as often as the least taken of them.
     """
     mixed = mix(docs, work, id_column=id_column, text_column=text_column, **options)
     times = mixed.groupBy(F.col(id_column).alias("m_id"), F.col("digest").alias("m_digest")).agg(F.min("times").alias("m_times"))
     times = work.keep(times.where("m_times > 0"), "times")
-    same = F.col(f"d.`{id_column}`").eqNullSafe(F.col("m_id")) & (F.xxhash64(F.col(f"d.`{text_column}`")) == F.col("m_digest"))
-    taken = docs.alias("d").join(times, same).withColumn("m_copy", F.explode(F.expr("sequence(1L, m_times)")))
-    return taken.select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    copies = times.select("m_id", "m_digest", F.explode(F.expr("sequence(1L, m_times)"))).alias("t")
+    digest = F.xxhash64(F.col(f"d.`{text_column}`"))
+    same = F.col(f"d.`{id_column}`").eqNullSafe(F.col("t.m_id")) & (digest == F.col("t.m_digest"))
+    return docs.alias("d").join(copies, same).select(*[F.col(f"d.`{c}`") for c in docs.columns])

@@ -70,3 +70,10 @@ def test_spans_hash_alike_wherever_they_lie(monkeypatch):
     names = [bytes(data[s:e]) for s, e in zip(starts, ends)]
     assert len(names) == 201 and names[2] == b"gamma"
     assert len(set(hashes.tolist())) == len(set(names)) == 5
+
+
+def test_columns_of_the_operator_s_own_names(spark, scratch):
+    rows = frame(spark, documents()).selectExpr("*", "7 AS gone_id", "8 AS kept", "9 AS member")
+    found = minhash.drop_near_duplicates(rows, scratch)
+    assert found.columns == rows.columns
+    assert 0 < found.count() < rows.count() and found.where("gone_id <> 7 OR kept <> 8 OR member <> 9").count() == 0

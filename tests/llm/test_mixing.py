@@ -80,3 +80,12 @@ def test_higher_weights_are_taken_more(spark, scratch):
 def test_empty_table(spark, scratch):
     assert mixing.mix(empty(spark), scratch).count() == 0
     assert mixing.take_mix(empty(spark), scratch).count() == 0
+
+
+def test_columns_of_the_operator_s_own_names(spark, scratch):
+    rows = frame(spark, documents()).selectExpr("*", "1 AS m_copy", "2 AS m_id", "3 AS m_digest", "4 AS m_times", "5 AS times")
+    found = mixing.take_mix(rows, scratch)
+    assert found.columns == rows.columns
+    plain = mixing.take_mix(frame(spark, documents()), scratch)
+    assert found.count() == plain.count() > 0
+    assert found.where("m_copy <> 1 OR m_id <> 2 OR m_digest <> 3 OR m_times <> 4 OR times <> 5").count() == 0
