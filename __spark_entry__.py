@@ -22,7 +22,7 @@ from logloom.operators import aggregates, ingest  # noqa: E402
 from logloom.plans import latency, reports, traffic  # noqa: E402
 from logloom.plans.build import REPORTED, build_tables  # noqa: E402
 from logloom.scratch import Scratch, shared_folder  # noqa: E402
-from logloom.session import let_workers_import  # noqa: E402
+from logloom.session import is_local, let_workers_import  # noqa: E402
 from logloom.sources.events import GROUPED_PATHS, LOG_LINE, log_lines, read_events, requests  # noqa: E402
 from logloom.sources.logs import read_log, stream_log  # noqa: E402
 from logloom.sources.tables import LogTables  # noqa: E402
@@ -354,11 +354,11 @@ LOCAL_FOLDER = "/tmp/checkpoints/logloom"
 
 
 def _with_folder(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
-    """Let a session without a shared folder run `query`; a set folder stays as it is."""
+    """Let a local session without a shared folder run `query`; a set folder stays as it is, and a cluster must set one."""
 
     @functools.wraps(query)
     def run(spark: SparkSession, *folder: str) -> DataFrame:
-        if not shared_folder(spark):
+        if not shared_folder(spark) and is_local(spark):
             spark.sparkContext.setCheckpointDir(LOCAL_FOLDER)
         let_workers_import(spark)
         return query(spark, *folder)

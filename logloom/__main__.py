@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark import SparkConf
+
 from .plans.build import build_tables
 from .scratch import shared_folder
-from .session import build_session
+from .session import CLUSTER_SETTINGS, build_session
 from .sources.logs import DEFAULT_LOG
 
 
@@ -18,8 +20,10 @@ def main() -> None:
     options.add_argument("--shared", help="folder for intermediate tables, if spark.checkpoint.dir is not set")
     options.add_argument("--spread-days", action="store_true", help="the files mix many days")
     given = options.parse_args()
-    spark = build_session()
+    local = SparkConf().get("spark.master", "local[*]").startswith("local")
+    spark = build_session(**({} if local else CLUSTER_SETTINGS))
     if not shared_folder(spark):
+        # beside the tables, which all executors reach
         spark.sparkContext.setCheckpointDir(given.shared or f"{given.root.rstrip('/')}/.work")
     load = build_tables(spark, given.log, given.root, rejects_path=given.rejects, spread_days=given.spread_days)
     print(f"load {load.load_id}: {load.accepted} requests, {load.rejected} lines left out")

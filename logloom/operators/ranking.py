@@ -73,16 +73,17 @@ def rank_and_tile(
     Rows are numbered slice by slice, so no task sorts all of them.
     """
     ties = [F.asc_nulls_last(c) for c in unique]
-    result = rows
-    for name, value in ranks.items():
-        numbered = _numbered(result, [F.desc_nulls_first(value), *ties], scratch)
+    result, numbered = rows, None
+    # last the order that the tiles share, if a rank has it: it is numbered once
+    for name in sorted(ranks, key=lambda name: ranks[name] == tile_by):
+        value = ranks[name]
+        numbered = _numbered(result.drop("position", "rows"), [F.desc_nulls_first(value), *ties], scratch)
         firsts = numbered.groupBy(F.col(value).alias("ranked_value")).agg(F.min("position").alias(name))
-        result = numbered.drop("position", "rows").join(
-            firsts, F.col(value).eqNullSafe(F.col("ranked_value"))
-        ).drop("ranked_value")
-    numbered = _numbered(result, [F.desc_nulls_first(tile_by), *ties], scratch)
+        result = numbered.join(firsts, F.col(value).eqNullSafe(F.col("ranked_value"))).drop("ranked_value")
+    if tile_by not in ranks.values():
+        result = _numbered(result.drop("position", "rows"), [F.desc_nulls_first(tile_by), *ties], scratch)
     tile = _tile(F.col("position"), F.col("rows"), tiles).alias(tile_name)
-    return numbered.select(*rows.columns, *ranks, tile)
+    return result.select(*rows.columns, *ranks, tile)
 
 
 def _tile(position: Column, rows: Column, tiles: int) -> Column:

@@ -111,8 +111,8 @@ def report_sections(tables: dict[str, DataFrame], rows: int = SECTION_ROWS) -> D
     return reduce(DataFrame.unionByName, parts)
 
 
-# Sorts after the rows of a section.
-LAST = 1_000_000
+# Where a line stands in its section.
+HEAD, BODY, END = range(3)
 
 
 def report_html(sections: DataFrame, columns: dict[str, list[str]], title: str) -> DataFrame:
@@ -130,22 +130,22 @@ def report_html(sections: DataFrame, columns: dict[str, list[str]], title: str)
 
     cells = F.concat_ws("", F.transform("cells", lambda c: F.concat(F.lit("<td>"), escaped(c), F.lit("</td>"))))
     body = sections.select(
-        "section", "row_no", F.concat(F.lit("<tr>"), cells, F.lit("</tr>")).alias("value")
+        "section", F.lit(BODY).alias("part"), "row_no", F.concat(F.lit("<tr>"), cells, F.lit("</tr>")).alias("value")
     )
-    frame = [("", 0, f"<!DOCTYPE html><html><head><meta charset='UTF-8'><title>{html.escape(title)}</title></head><body>")]
+    frame = [("", HEAD, 0, f"<!DOCTYPE html><html><head><meta charset='UTF-8'><title>{html.escape(title)}</title></head><body>")]
     for name, heading in SECTION_TITLES:
         header = "".join(f"<th>{c}</th>" for c in columns[name])
-        frame.append((name, 0, f"<h2>{heading}</h2><table><tr>{header}</tr>"))
-        frame.append((name, LAST, "</table>"))
-    frame.append(("~", 0, "</body></html>"))
+        frame.append((name, HEAD, 0, f"<h2>{heading}</h2><table><tr>{header}</tr>"))
+        frame.append((name, END, 0, "</table>"))
+    frame.append(("~", END, 0, "</body></html>"))
     lines = spark.createDataFrame(frame, body.schema)
-    empty = lines.where(F.col("row_no") == LAST).join(body, "section", "left_anti")
-    remarks = empty.select("section", "row_no", F.lit("<p>No data</p>").alias("value"))
+    empty = lines.where((F.col("part") == END) & (F.col("section") != "~")).join(body, "section", "left_anti")
+    remarks = empty.select("section", "part", "row_no", F.lit("<p>No data</p>").alias("value"))
     position = F.array_position(F.array(*[F.lit(name) for name, _ in SECTION_TITLES]), F.col("section"))
     place = F.when(F.col("section") == "~", len(SECTION_TITLES) + 1).otherwise(position)
     page = body.unionByName(lines).unionByName(remarks)
     # "</table>" comes before "<p>" where both close a section.
-    return page.coalesce(1).sortWithinPartitions(place, "row_no", "value").select("value")
+    return page.coalesce(1).sortWithinPartitions(place, "part", "row_no", "value").select("value")
 
 
 def export_reports(tables: dict[str, DataFrame], folder: str, title: str) -> None:

@@ -44,6 +44,12 @@ def build_session(app: str = "logloom", master: str | None = None, **settings: s
     return builder.getOrCreate()
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether all tasks run in this machine's process, so that its folders are shared."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def let_workers_import(spark: SparkSession) -> None:
     """On a local master, let Python workers find this package wherever they are started; a cluster gets it with --py-files."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
