@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import mean, pct
 from ..operators.aggregates import is_error, valid
-from ..operators.quantiles import percentiles
+from ..operators.quantiles import merged_sketches, percentiles, percentiles_of_doubles, sketched_percentiles, sketches
 from ..operators.ranking import rank_and_tile
 from ..scratch import Scratch
 
@@ -60,6 +60,34 @@ def _latency(requests: DataFrame, scratch: Scratch, min_hits: int, fractions: di
     )
 
 
+FRACTIONS = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+
+
+def response_time_percentiles(
+    extended: DataFrame, scratch: Scratch, column: str, as_of: dt.date | None = None
+) -> DataFrame:
+    """Per endpoint group and method: requests, p50, p95, p99 and maximum of a column of doubles, of one day or of all."""
+    rows = valid(extended) if as_of is None else valid(extended).where(F.col("log_date") == F.lit(as_of))
+    keys = ["endpoint_group", "method"]
+    rows = scratch.keep(rows.select(*keys, F.col(column).cast("double").alias("value")), "response-times")
+    stats = rows.groupBy(*keys).agg(F.count("*").alias("total_requests"), F.max("value").alias("max_ms"))
+    found = percentiles_of_doubles(rows, keys, "value", FRACTIONS, scratch)
+    found = found.select(*[F.col(c).alias(f"of_{c}") for c in keys], *FRACTIONS)
+    same = [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in keys]
+    return stats.join(found, same, "left").select(*keys, "total_requests", *FRACTIONS, "max_ms")
+
+
+def response_time_sketches(extended: DataFrame, column: str) -> DataFrame:
+    """Per day, endpoint group and method a sketch of a column: kept, it spares later queries the requests."""
+    return sketches(valid(extended), ["log_date", "endpoint_group", "method"], column)
+
+
+def sketched_response_times(days: DataFrame) -> DataFrame:
+    """Per endpoint group and method p50, p95 and p99 of all days of `response_time_sketches`, within the sketch's bound."""
+    keys = ["endpoint_group", "method"]
+    return sketched_percentiles(merged_sketches(days, keys), keys, FRACTIONS)
+
+
 def latency_percentiles(extended: DataFrame, scratch: Scratch, as_of: dt.date | None = None) -> DataFrame:
     """Per endpoint group and method on one day: requests, mean, p50, p95, p99 and maximal response time."""
     of_day = valid(extended).where(F.col("log_date") == _day(as_of))

@@ -120,3 +120,27 @@ def test_the_day_is_today_by_default(staged, scratch):
     assert latency.slowest_endpoints(staged(rows), scratch).first().hits == 180
     (row,) = latency.error_surge(staged(rows)).collect()
     assert row.log_date == noon.date() and row.baseline_rate == 0
+
+
+def test_response_time_percentiles_and_sketches(staged, scratch):
+    random.seed(12)
+    times = {("/a", "GET"): [random.expovariate(0.02) for _ in range(900)], ("/b", "POST"): [0.125, 7.5], ("/c", "GET"): [None]}
+    rows = [(request(path=path, method=method, requested_at=at(8 + i % 3)), ms) for (path, method), group in times.items() for i, ms in enumerate(group)]
+    frame = staged([row for row, _ in rows] + [request(path="/a", is_valid=False)])
+    took = frame.sparkSession.createDataFrame([(row["id"], ms) for row, ms in rows], "id long, took double")
+    frame = scratch.keep(frame.join(took, "id", "left"), "timed")
+    for day, of_day in ((None, slice(None)), (TODAY, slice(2, None, 3))):
+        found = {(r.endpoint_group, r.method): r for r in latency.response_time_percentiles(frame, scratch, "took", day).collect()}
+        for key, group in times.items():
+            group = group[of_day]
+            known = [ms for ms in group if ms is not None]
+            assert (key in found) == bool(group)
+            if known:
+                expected = [*np.percentile(known, [50, 95, 99]), max(known)]
+                assert list(found[key])[3:] == pytest.approx(expected, rel=1e-12) and found[key].total_requests == len(group)
+            elif group:
+                assert tuple(found[key])[2:] == (1, None, None, None, None)
+    sketch = {r.endpoint_group: r for r in latency.sketched_response_times(latency.response_time_sketches(frame, "took")).collect()}
+    known = np.array(times["/a", "GET"])
+    for name, fraction in latency.FRACTIONS.items():
+        assert abs((known < sketch["/a"][name]).mean() - fraction) < 0.02
