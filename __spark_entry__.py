@@ -72,7 +72,7 @@ def repeated(spark: SparkSession, folder: str) -> DataFrame:
     return rows.unionByName(rows.where("id % 10 = 0"))
 
 
-def damaged_lines(spark: SparkSession, folder: str) -> DataFrame:
+def damaged_lines(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
     """The log with some lines cut, some on a day that does not exist, some with a bad size."""
     value = F.col("value")
     damaged = (
@@ -81,7 +81,7 @@ def damaged_lines(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.expr("id % 59 = 3"), F.regexp_replace(value, r'(\d+) "-"', '1_0 "-"'))
         .otherwise(value)
     )
-    return raw(spark, folder).selectExpr("id", f"{LOG_LINE} AS value").select(damaged.alias("value"))
+    return raw(spark, folder).selectExpr("id", f"{LOG_LINE} AS value").select(*keep, damaged.alias("value"))
 
 
 def log_file(lines: DataFrame, scratch: Scratch) -> str:
@@ -123,6 +123,17 @@ def load_counts(spark: SparkSession, folder: str) -> DataFrame:
     return per_load.join(F.broadcast(rejected), "load_id")
 
 
+def load_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """A damaged log of several files, loaded twice: every request and its id, which follows the lines."""
+    scratch = Scratch(spark)
+    tables, path = tables_in(scratch), scratch.path("log")
+    damaged_lines(spark, folder, "id").repartitionByRange(5, "id").sortWithinPartitions("id").select("value").write.text(path)
+    for _ in range(2):
+        tables.load(read_log(spark, path))
+    columns = "id", "load_id", "ip_address", "method", "path", "status_code", "response_size", "user_agent", "requested_at", "response_ms"
+    return comparable(tables.raw().select(*columns))
+
+
 def stage_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """Half the log loaded and staged, then all of it: every load staged once."""
     scratch = Scratch(spark)
@@ -292,6 +303,14 @@ def latency_percentiles(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(found.withColumns({c: F.round(c, 4) for c in ("p50_ms", "p95_ms", "p99_ms")}))
 
 
+def response_time_percentiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Response times with fractions of a millisecond, per endpoint group and method."""
+    times = read_events(spark, folder).select(F.col("event_id").alias("id"), (F.col("value") * 10).alias("took_ms"))
+    rows = extended(spark, folder).join(times, "id")
+    found = latency.response_time_percentiles(rows, Scratch(spark), "took_ms")
+    return found.withColumns({c: F.round(c, 6) for c in ("p50_ms", "p95_ms", "p99_ms")})
+
+
 def slowest_endpoints(spark: SparkSession, folder: str) -> DataFrame:
     found = latency.slowest_endpoints(extended(spark, folder), Scratch(spark), AS_OF)
     return comparable(found.withColumn("p95_ms", F.round("p95_ms", 4)))
@@ -401,6 +420,7 @@ def log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_access_log": parse_access_log,
         "parse_rejects": parse_rejects,
         "load_counts": load_counts,
+        "load_ids": load_ids,
         "stage_logs": lambda spark, folder: comparable(staged(spark, folder)),
         "stage_incremental": stage_incremental,
         "stage_by_id": stage_by_id,
@@ -435,6 +455,7 @@ def log_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "client_breakdown": _over(staged, traffic.client_breakdown),
         "traffic_rolling_3h": _over(extended, latency.traffic_rolling_3h),
         "latency_percentiles": latency_percentiles,
+        "response_time_percentiles": response_time_percentiles,
         "ip_threat_level": _over(extended, latency.ip_threat_level),
         "error_surge": _over(extended, latency.error_surge, AS_OF),
         "slowest_endpoints": slowest_endpoints,

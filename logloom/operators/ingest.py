@@ -23,16 +23,17 @@ def _convertible() -> Column:
     return F.col("requested_at").isNotNull() & F.col("response_size").isNotNull()
 
 
-def parse_lines(lines: DataFrame, max_path: int | None = None) -> DataFrame:
-    """Every line with `parse_ok` and its fields, which only count where `parse_ok` holds."""
-    found = _captured_once(lines, "value")
-    parts = found.select("value", F.when(F.size("found") == GROUPS, F.col("found")).alias("parts"))
+def parse_lines(lines: DataFrame, max_path: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every line with `parse_ok` and its fields, which only count where `parse_ok` holds, and the columns `keep`."""
+    found = _captured_once(lines, "value", *keep)
+    parts = found.select("value", *keep, F.when(F.size("found") == GROUPS, F.col("found")).alias("parts"))
     typed = parts.select(
         "value",
+        *keep,
         F.col("parts").isNotNull().alias("matched"),
         *[column.alias(name) for name, column in fields_of(F.col("parts"), max_path).items()],
     )
-    return typed.select("value", (F.col("matched") & _convertible()).alias("parse_ok"), *PARSED)
+    return typed.select("value", *keep, (F.col("matched") & _convertible()).alias("parse_ok"), *PARSED)
 
 
 def parse_access_log(lines: DataFrame, max_path: int | None = None) -> DataFrame:
@@ -86,9 +87,26 @@ def stage_logs(raw: DataFrame) -> DataFrame:
     )
 
 
+def id_bitmaps(rows: DataFrame) -> DataFrame:
+    """The ids of `rows` as (bucket, bits): one bit an id, 32,768 of them to a row; null ids are left out."""
+    bucket = F.bitmap_bucket_number("id").alias("bucket")
+    known = rows.where(F.col("id").isNotNull())
+    return known.groupBy(bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"))
+
+
 def not_yet_staged(raw: DataFrame, staged: DataFrame) -> DataFrame:
-    """Raw requests whose id is not among the staged ones."""
-    return raw.join(staged.select("id"), "id", "left_anti")
+    """Raw requests whose id is not among the staged ones; those without id are never staged.
+
+    The staged ids are merged to bitmaps where they are read, so a bit of
+    each is shuffled instead of the id, and a raw request meets one bitmap,
+    whatever the number of loads, repeated ids or gaps between ids.
+    """
+    bits = F.col("staged_ids.bits")
+    place = F.bitmap_bit_position("new.id").cast("int")
+    byte = F.conv(F.hex(F.substring(bits, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("shiftright", byte, place % 8).bitwiseAND(F.lit(1)) == 1
+    same = (F.bitmap_bucket_number("new.id") == F.col("staged_ids.bucket")) & ((F.bitmap_count(bits) == 32_768) | is_set)
+    return raw.alias("new").join(id_bitmaps(staged).alias("staged_ids"), same, "left_anti")
 
 
 def extended(staged: DataFrame) -> DataFrame:

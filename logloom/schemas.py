@@ -30,6 +30,22 @@ RAW = _schema(
     ("load_id", T.LongType()),
 )
 
+# Raw requests as they are stored: their ids follow from where they lie, see LogTables.raw.
+STORED = T.StructType(
+    [f for f in RAW.fields if f.name != "id"]
+    + [T.StructField("task", T.IntegerType()), T.StructField("log_file", T.StringType()), T.StructField("log_block", T.LongType())]
+)
+
+# The requests that a task wrote out of one split of a log: the first one's row in its file and its id.
+PIECES = _schema(
+    ("load_id", T.LongType()),
+    ("task", T.IntegerType()),
+    ("place", T.LongType()),
+    ("first_row", T.LongType()),
+    ("first_id", T.LongType()),
+    ("size", T.LongType()),
+)
+
 REJECTS = _schema(("load_id", T.LongType()), ("value", T.StringType()))
 
 STAGED = _schema(

@@ -9,10 +9,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from .. import schemas
-from ..operators.ingest import parse_lines, stage_logs, with_ids
+from ..operators.ingest import parse_lines, stage_logs
 from ..operators.merge import changes, upsert
+from ..operators.numbering import starts
 from ..scratch import Scratch, hadoop_path, path_exists
 
+# Bytes up to which the stored pieces of raw requests are broadcast: some millions of them.
+PIECES_AT_ONCE = 16 << 20
+
 # The folder of staged requests without a date.
 UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
@@ -65,8 +69,37 @@ class LogTables:
         return self.spark.createDataFrame([], schema)
 
     def raw(self, loads: list[int] | None = None) -> DataFrame:
-        """All raw requests, or those of some loads."""
-        return self._read("raw_logs", schemas.RAW, f"{_loads(loads)}/accepted=true").select(*schemas.RAW.names)
+        """All raw requests of finished loads, or those of some loads.
+
+        Ids are 1, 2, 3, .. without gaps, in the order of loads, and within a
+        load of files by path and of lines in a file. They aren't stored with
+        the requests: a task writes those of a split of the log in the order of
+        the lines, so an id is the row's number in its file plus what the
+        pieces before it add up to. They stay the same whenever they are read.
+        """
+        stored = self._stored(loads)
+        if stored is None:
+            return self.spark.createDataFrame([], schemas.RAW)
+        pieces = self._read("raw_pieces", schemas.PIECES, _loads(loads))
+        if self._bytes(f"raw_pieces/{_loads(loads)}/*.parquet") <= PIECES_AT_ONCE:
+            pieces = F.broadcast(pieces)
+        # an unfinished load has no pieces, so its rows don't show
+        rows = stored.join(pieces, ["load_id", "task", "place"])
+        rows = rows.withColumn("id", F.col("first_id") + F.col("row") - F.col("first_row"))
+        return rows.select(*schemas.RAW.names)
+
+    def _stored(self, loads: list[int] | None) -> DataFrame | None:
+        """The accepted requests as written, with `place`, the split of the log they come from, and `row`, their number in a file."""
+        paths = [path.toString() for path in self._listed(f"raw_logs/{_loads(loads)}/accepted=true")]
+        if not paths:
+            return None
+        rows = self.spark.read.schema(schemas.STORED).option("basePath", self.path("raw_logs")).parquet(*paths)
+        place = F.xxhash64("log_file", "log_block")  # tells the few splits apart that one task read
+        return rows.select("*", place.alias("place"), F.col("_metadata.row_index").alias("row"))
+
+    def _bytes(self, pattern: str) -> int:
+        fs, hpath = hadoop_path(self.spark, f"{self.root}/{pattern}")
+        return sum(status.getLen() for status in fs.globStatus(hpath) or [])
 
     def rejects(self, loads: list[int] | None = None) -> DataFrame:
         """The lines that loads, also those of streams, left out: load_id, value."""
@@ -90,11 +123,16 @@ class LogTables:
         fs, hpath = hadoop_path(self.spark, f"{self.root}/{pattern}")
         return [status.getPath() for status in fs.globStatus(hpath) or []]
 
+    @staticmethod
+    def _marks(name: str) -> str:
+        """Where `_SUCCESS` notes a finished load: raw requests count once they are numbered."""
+        return "raw_pieces" if name == "raw_logs" else name
+
     def is_finished(self, name: str, load_id: int) -> bool:
-        return path_exists(self.spark, f"{self.path(name)}/load_id={load_id}/_SUCCESS")
+        return path_exists(self.spark, f"{self.path(self._marks(name))}/load_id={load_id}/_SUCCESS")
 
     def _newest_first(self, name: str) -> Iterator[int]:
-        marks = self._listed(f"{name}/load_id=*/_SUCCESS")
+        marks = self._listed(f"{self._marks(name)}/load_id=*/_SUCCESS")
         return iter(sorted((int(mark.getParent().getName().split("=")[1]) for mark in marks), reverse=True))
 
     def loads(self, name: str) -> list[int]:
@@ -131,19 +169,36 @@ class LogTables:
     def _first_free_id(self) -> int:
         # Ids grow from load to load, and a load notes the first one after its own.
         for load_id in self._newest_first("raw_logs"):
-            noted = self._listed(f"raw_logs/load_id={load_id}/_next_id=*")
+            noted = self._listed(f"raw_pieces/load_id={load_id}/_next_id=*")
             if noted:
                 return int(noted[0].getName().split("=")[1])
-            last = self.raw([load_id]).agg(F.max("id")).first()[0]
-            if last is not None:
-                return last + 1
+            pieces = self._read("raw_pieces", schemas.PIECES, f"load_id={load_id}")
+            free = pieces.agg(F.max(F.col("first_id") + F.col("size"))).first()[0]
+            if free is not None:
+                return free
         return 1
 
+    def _number(self, load_id: int, first_id: int, accepted: int) -> None:
+        """Give a written load its ids, from `first_id` on: one short row a task and split, from three narrow columns."""
+        stored = self._stored([load_id])
+        if stored is None:
+            pieces = self.spark.createDataFrame([], schemas.PIECES)
+        else:
+            sizes = stored.groupBy("task", "log_file", "log_block", "place").agg(F.min("row").alias("first_row"), F.count("*").alias("size"))
+            pieces = starts(sizes, "log_file", "log_block", "task").withColumn("first_id", F.col("start") + first_id)
+        folder = f"{self.path('raw_pieces')}/load_id={load_id}"
+        stored_names = [name for name in schemas.PIECES.names if name != "load_id"]
+        pieces.select(*stored_names).coalesce(1).write.mode("overwrite").parquet(folder)
+        fs, hpath = hadoop_path(self.spark, f"{folder}/_next_id={first_id + accepted}")
+        fs.create(hpath, True).close()
+
     def load(self, lines: DataFrame, load_id: int | None = None, rejects_path: str | None = None) -> Load:
         """Append the lines as one load, accepted and rejected ones side by side, in one pass, and count both.
 
-        Nothing stops the same file from being loaded twice. An unfinished load
-        of the same number is replaced. With `rejects_path`, rejected lines are
+        The accepted ones are numbered, see `raw`; lines that didn't come from
+        `read_log` or `stream_log`, and so have no place, in the order of the
+        tasks. Nothing stops the same file from being loaded twice. An
+        unfinished load of the same number is replaced. With `rejects_path`, rejected lines are
         written there as text as well.
         """
         if load_id is None:
@@ -152,24 +207,24 @@ class LogTables:
             raise ValueError(f"load {load_id} is finished")
         first_id = self._first_free_id()
         counts = Observation()
-        parsed = with_ids(parse_lines(lines), first_id).observe(
-            counts,
-            F.count("*").alias("lines"),
-            F.count_if(~F.col("parse_ok")).alias("rejected"),
-            F.max("id").alias("last_id"),
+        places = {"log_file": F.lit(None).cast("string"), "log_block": F.lit(0).cast("long")}
+        lines = lines.select("value", *[F.col(c) if c in lines.columns else other.alias(c) for c, other in places.items()])
+        parsed = parse_lines(lines, keep=tuple(places)).observe(
+            counts, F.count("*").alias("lines"), F.count_if(~F.col("parse_ok")).alias("rejected")
         )
         accepted = F.col("parse_ok")
-        stored = [F.when(accepted, F.col(n)).alias(n) for n in schemas.RAW.names if n not in ("load_id", "ingested_at")]
+        unparsed = "id", "load_id", "ingested_at"
+        stored = [F.when(accepted, F.col(n)).alias(n) for n in schemas.RAW.names if n not in unparsed]
         rows = parsed.select(
-            *stored, F.when(accepted, F.current_timestamp()).alias("ingested_at"), F.when(~accepted, F.col("value")).alias("value"),
+            *stored, *places, F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("slot"), F.when(accepted, F.current_timestamp()).alias("ingested_at"), F.when(~accepted, F.col("value")).alias("value"),
             accepted.alias("accepted"),
         )
         folder = f"{self.path('raw_logs')}/load_id={load_id}"
-        rows.write.mode("overwrite").partitionBy("accepted").parquet(folder)
+        # the writer sorts a task's rows by `accepted` anyway; with the slot each kind keeps the order of the lines
+        rows = rows.sortWithinPartitions("accepted", "slot").drop("slot")
+        rows.write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy("accepted").parquet(folder)
         seen = counts.get
-        next_id = first_id if seen["last_id"] is None else seen["last_id"] + 1
-        fs, hpath = hadoop_path(self.spark, f"{folder}/_next_id={next_id}")
-        fs.create(hpath, True).close()
+        self._number(load_id, first_id, seen["lines"] - seen["rejected"])
         if rejects_path and seen["rejected"]:
             self.rejects([load_id]).select("value").write.mode("append").text(rejects_path)
         return Load(load_id, seen["lines"] - seen["rejected"], seen["rejected"])

@@ -355,6 +355,13 @@ ORACLES = {
                {big("status_total")} AS status_total, {big("size_total")} AS size_total,
                {big("rejected")} AS rejected
         FROM ({LOAD_TOTALS}) CROSS JOIN (SELECT unnest([1, 2]) AS load_id)""",
+    "load_ids": f"""
+        WITH kept AS (
+            SELECT *, row_number() OVER (ORDER BY id) AS line, count(*) OVER () AS n
+            FROM ({REQUESTS}) WHERE NOT {DAMAGED})
+        SELECT {big("(load_id - 1) * n + line")} AS id, {big("load_id")} AS load_id, ip_address, method, path, status_code,
+               response_size, user_agent, {time("date_trunc('second', requested_at)")} AS requested_at, response_ms
+        FROM kept CROSS JOIN (SELECT unnest([1, 2]) AS load_id)""",
     "stage_logs": f"""
         SELECT id, {STAGED_COLUMNS}, {time("requested_at")} AS requested_at, response_ms FROM ({STAGED})""",
     "stage_incremental": f"""
@@ -477,6 +484,13 @@ ORACLES = {
                round(quantile_cont(response_ms, 0.95), 4) AS p95_ms,
                round(quantile_cont(response_ms, 0.99), 4) AS p99_ms, max(response_ms) AS max_ms
         FROM ({EXTENDED}) WHERE is_valid AND log_date = {AS_OF} GROUP BY endpoint_group, method""",
+    "response_time_percentiles": f"""
+        SELECT endpoint_group, method, count(*) AS total_requests,
+               round(quantile_cont(took_ms, 0.5), 6) AS p50_ms,
+               round(quantile_cont(took_ms, 0.95), 6) AS p95_ms,
+               round(quantile_cont(took_ms, 0.99), 6) AS p99_ms, max(took_ms) AS max_ms
+        FROM (SELECT e.*, t.value * 10 AS took_ms FROM ({EXTENDED}) e JOIN events t ON t.event_id = e.id)
+        WHERE is_valid GROUP BY endpoint_group, method""",
     "ip_threat_level": f"""
         SELECT ip_address, {day("log_date")} AS log_date, log_hour, total_req, error_req, error_rate,
                unique_endpoints,

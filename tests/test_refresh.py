@@ -151,7 +151,7 @@ def test_a_load_that_died_is_replaced(spark, tables, stop):
     tables.load(spark.createDataFrame([(line(),)], "value string"))
     dead = tables.load(spark.createDataFrame([(line(minute=1),), ("bad",)], "value string"))
     for mark in ["_SUCCESS", "_next_id=*"][: 2 if stop == "write" else 1]:
-        for path in tables._listed(f"raw_logs/load_id={dead.load_id}/{mark}"):
+        for path in tables._listed(f"raw_pieces/load_id={dead.load_id}/{mark}"):
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False)
     again = tables.load(spark.createDataFrame([(line(minute=2),)], "value string"))
     assert again.load_id == dead.load_id

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from logloom import schemas
-from logloom.operators.ingest import classify_client, extended, not_yet_staged, stage_logs, validate_logs
+from logloom.operators.ingest import classify_client, extended, id_bitmaps, not_yet_staged, stage_logs, validate_logs
 
 AT = dt.datetime(2024, 3, 1, 10, 59, 59)
 
@@ -109,3 +109,19 @@ def test_not_yet_staged(raw):
     staged = stage_logs(rows.where("id = 2"))
     assert sorted(row.id for row in not_yet_staged(rows, staged).collect()) == [1, 3]
     assert not_yet_staged(rows, stage_logs(rows)).count() == 0
+
+
+def test_not_yet_staged_by_bits(raw):
+    ids = [None, -5, 0, 1, 2, 8, 9, 32_767, 32_768, 32_769, 65_536, 65_537, 8_589_934_592, 2**62]
+    rows = raw(*[{"id": i} for i in ids])
+    kept = [i for i in ids if i not in (-5, 2, 9, 32_768, 65_537, 2**62)]
+    gone = stage_logs(raw(*[{"id": i} for i in (-5, 2, 9, 9, 32_768, 65_537, 2**62, 77, None)]))
+    assert sorted(row.id or 0 for row in not_yet_staged(rows, gone).collect()) == sorted(i or 0 for i in kept)
+
+
+def test_a_full_bitmap_and_what_is_shuffled(spark, raw):
+    staged = spark.range(1, 100_001)
+    rows = spark.range(131_073)
+    left = not_yet_staged(rows, staged)
+    assert sorted(row.id for row in left.collect()) == [0, *range(100_001, 131_073)]
+    assert id_bitmaps(staged).count() == 4

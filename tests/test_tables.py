@@ -4,12 +4,14 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from logloom import schemas
 from logloom.operators.aggregates import hourly_traffic
 from logloom.operators.merge import upsert
 from logloom.plans import build
 from logloom.scratch import Scratch
+from logloom.sources.logs import read_log
 from logloom.sources.tables import LogTables
 
 
@@ -48,6 +50,49 @@ def test_loads_number_on_and_are_not_idempotent(tables, lines, scratch, spark):
     assert [row.value for row in spark.read.text(rejects).collect()] == ["garbage"] * 2
 
 
+def test_ids_follow_the_lines_of_files(spark, tables, tmp_path):
+    for name, sizes in {"b.log": [400], "a.log": [3000], "c.log": []}.items():
+        texts = [line(path=f"/{name}/{i}") if i % 7 else f"garbage {i}" for n in sizes for i in range(n)]
+        (tmp_path / name).write_text("\n".join(texts))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        # a.log is split into many blocks, b.log into some
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 9000)
+        log = read_log(spark, str(tmp_path))
+        assert log.rdd.getNumPartitions() > 20
+        first, second = (tables.load(log) for _ in range(2))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    paths = [f"/{name}/{i}" for name, n in (("a.log", 3000), ("b.log", 400)) for i in range(n) if i % 7]
+    assert first.accepted == second.accepted == len(paths)
+    rows = sorted((r.id, r.load_id, r.path) for r in tables.raw().collect())
+    assert rows == list(zip(range(1, 2 * len(paths) + 1), [1] * len(paths) + [2] * len(paths), 2 * paths))
+    # read by part, whatever the split of the files, ids are the same
+    assert sorted((r.id, r.load_id, r.path) for r in tables.raw([2]).where("id % 3 = 0").collect()) == [r for r in rows if r[0] % 3 == 0 and r[1] == 2]
+
+
+def test_ids_of_a_task_that_failed_once(spark, tables, tmp_path):
+    (tmp_path / "a.log").write_text("\n".join(line(path=f"/{i}") for i in range(500)))
+    failed = tmp_path / "failed"
+
+    @F.udf("string")
+    def once(text):
+        if not failed.exists() and "/400 " in text:
+            failed.touch()
+            raise OSError("lost")
+        return text
+
+    log = read_log(spark, str(tmp_path / "a.log")).withColumn("value", once("value"))
+    try:
+        tables.load(log)
+    except Exception:  # local masters don't repeat a task: the load is done again, over what is there
+        pass
+    if not tables.loads("raw_logs"):
+        tables.load(log)
+    assert failed.exists()
+    assert sorted((r.id, r.path) for r in tables.raw().collect()) == [(i + 1, f"/{i}") for i in range(500)]
+
+
 def test_a_load_without_rows_leaves_the_ids_going_on(tables, lines):
     tables.load(lines(line()))
     assert tables.load(lines("garbage")).accepted == 0
