@@ -132,13 +132,16 @@ def near_duplicates(
 
         return near
 
+    part = work.part()
+
     def verifier(ids: DataFrame):
         packed = packed_texts(docs).join(ids, "id", "left_semi")
-        packed = work.keep(packed, "packed-texts")
-        return lambda pairs: _verified(work.keep(pairs, "pairs"), packed, percent, words)
+        packed = part.keep(packed, "packed-texts")
+        return lambda pairs: _verified(part.keep(pairs, "pairs"), packed, percent, words)
 
-    links = link_buckets(buckets, records, within(4.0), verifier, work, likely=within(0.5))
-    groups = work.keep(components(links.unionAll(copies), work), "groups").withColumnRenamed("id", "member")
+    links = link_buckets(buckets, records, within(4.0), verifier, part, likely=within(0.5))
+    groups = work.keep(components(links.unionAll(copies), part), "groups").withColumnRenamed("id", "member")
+    part.drop()
     found = sketches.select("id", "n_shingles").join(groups, F.col("id") == F.col("member"), "left")
     component = F.coalesce("component", "id")
     return found.select(
@@ -151,8 +154,10 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, work: Scratch, *, id_column: str = "doc_id", **options) -> DataFrame:
     """The rows of `docs` that are kept, with all their columns, whatever their names; rows of one id stay or go together."""
-    found = near_duplicates(docs, work, id_column=id_column, **options)
+    part = work.part()
+    found = near_duplicates(docs, part, id_column=id_column, **options)
     gone = work.keep(found.where("NOT kept").select(F.col(id_column).alias("gone_id")).distinct(), "gone")
+    part.drop()
     return docs.alias("d").join(gone.alias("g"), F.col(f"d.`{id_column}`") == F.col("g.gone_id"), "left_anti")
 
 

@@ -140,9 +140,11 @@ def take_mix(
 
     Rows that agree in id and text are all taken as often as the least taken of them.
     """
-    mixed = mix(docs, work, id_column=id_column, text_column=text_column, **options)
+    part = work.part()
+    mixed = mix(docs, part, id_column=id_column, text_column=text_column, **options)
     times = mixed.groupBy(F.col(id_column).alias("m_id"), F.col("digest").alias("m_digest")).agg(F.min("times").alias("m_times"))
     times = work.keep(times.where("m_times > 0"), "times")
+    part.drop()
     copies = times.select("m_id", "m_digest", F.explode(F.expr("sequence(1L, m_times)"))).alias("t")
     digest = F.xxhash64(F.col(f"d.`{text_column}`"))
     same = F.col(f"d.`{id_column}`").eqNullSafe(F.col("t.m_id")) & (digest == F.col("t.m_digest"))

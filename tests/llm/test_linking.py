@@ -7,6 +7,7 @@ from corpus import smallest_reachable
 from pyspark.sql import functions as F
 
 from logloom.llm.linking import components, link_buckets
+from logloom.scratch import Scratch
 
 
 @pytest.mark.parametrize("shape", ["random", "path", "star", "cycle", "two ends"])
@@ -77,3 +78,20 @@ def test_a_bucket_of_copies_costs_a_row_each(spark, scratch):
     links = link_buckets(buckets, records, lambda left, right: F.col(f"{left}.x") == F.col(f"{right}.x"), verifier, scratch)
     assert components(links, scratch).select("component").distinct().count() == 1
     assert sum(met) < 2 * count
+
+
+def test_rows_with_nothing_near_them_are_left_out(spark, scratch, monkeypatch):
+    """Of two buckets of a pair, the one in which nothing is near either end costs no row after the first step."""
+    records = spark.createDataFrame([(1, 0), (2, 0), (3, 9), (4, 5)], "id long, x long")
+    buckets = spark.createDataFrame([("near", 1), ("near", 2), ("far", 1), ("far", 3), ("apart", 2), ("apart", 4)], "key string, id long")
+    kept, keep = {}, Scratch.keep
+
+    def counted(self, df, label="table", **options):
+        table = keep(self, df, label, **options)
+        kept[label] = table.count()
+        return table
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    links = link_buckets(buckets, records, lambda left, right: F.col(f"{left}.x") == F.col(f"{right}.x"), lambda ids: lambda pairs: pairs, scratch)
+    assert {(r.a, r.b) for r in links.collect()} == {(2, 1)}
+    assert kept["bucket-rows"] == 6 and kept["candidate-rows"] == 2
