@@ -106,14 +106,17 @@ SELECT leaf, depth, at, folded, siblings FROM climb
 """
 
 
-def _climb(start: DataFrame, runs: DataFrame, work: Scratch) -> DataFrame:
-    """The rows of `start` and those of all steps up from them, written."""
+def _climb(start: DataFrame, runs: DataFrame, work: Scratch, *, to_the_end: bool = False) -> DataFrame:
+    """The rows of `start` and those of all steps up from them, written; `to_the_end`: the steps alone, the hash where one arrives at the root."""
     spark = start.sparkSession
     limit = "spark.sql.cteRecursionRowLimit"
     was = spark.conf.get(limit)
     spark.conf.set(limit, "-1")  # all leaves climb
     try:
-        return work.keep(spark.sql(CLIMB, start=start, runs=runs), "climb", compression="zstd")
+        climb = spark.sql(CLIMB, start=start, runs=runs)
+        if to_the_end:
+            climb = climb.where("siblings IS NOT NULL").select("leaf", "depth", F.when(F.col("at").isNull(), F.col("folded")).alias("folded"), "siblings")
+        return work.keep(climb, "climb", compression="zstd")
     finally:
         spark.conf.set(limit, was)
 
@@ -218,5 +221,7 @@ def _climb_all(leaves: DataFrame, found: list[DataFrame], above: Column, count:
     # the rows whose next node is a broadcast one climb on
     ends = climbed.join(wide_runs.select(F.col("run").alias("next")), F.expr(f"at div {ARITY}") == F.col("next"), "left_semi")
     ends = ends.select("leaf", "depth", "at", "folded", none)
-    higher = _climb(ends, wide_runs.select("run", "at", "children"), work)
-    return climbed.unionAll(higher.where("siblings IS NOT NULL"))
+    higher = _climb(ends, wide_runs.select("run", "at", "children"), work, to_the_end=True)
+    # the last run is above all leaves, so all hashes arrive in the second climb
+    below = climbed.where("siblings IS NOT NULL").select("leaf", "depth", F.lit(None).cast("binary").alias("folded"), "siblings")
+    return below.unionAll(higher)

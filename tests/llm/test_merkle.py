@@ -116,3 +116,20 @@ def test_the_registered_query(spark):
     folder = "/root/testdata/sf0.001"
     rows = [fields(r.asDict()) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     check(op12_merkle(spark, folder), rows)
+
+
+@pytest.mark.parametrize("wide", [4096, 4])
+def test_hashes_are_kept_where_they_arrive(spark, scratch, monkeypatch, wide):
+    """A row per leaf and level with the siblings; the folded hash in the last of them alone."""
+    monkeypatch.setattr(merkle, "WIDE", wide)
+    climbed, climb_all = [], merkle._climb_all
+
+    def seen(*args):
+        climbed.append(climb_all(*args))
+        return climbed[0]
+
+    monkeypatch.setattr(merkle, "_climb_all", seen)
+    rows = [(i, "s", None, i, f"text\n{i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
+    check(merkle_manifest(docs, scratch, now=now()), rows)
+    assert climbed[0].count() == 30 * 4 and climbed[0].where("folded IS NOT NULL").count() == 30
