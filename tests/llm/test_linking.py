@@ -6,7 +6,8 @@ import pytest
 from corpus import smallest_reachable
 from pyspark.sql import functions as F
 
-from logloom.llm.linking import components, link_buckets
+from logloom.llm import linking
+from logloom.llm.linking import components, link_buckets, maybe_among
 from logloom.scratch import Scratch
 
 
@@ -95,3 +96,36 @@ def test_rows_with_nothing_near_them_are_left_out(spark, scratch, monkeypatch):
     links = link_buckets(buckets, records, lambda left, right: F.col(f"{left}.x") == F.col(f"{right}.x"), lambda ids: lambda pairs: pairs, scratch)
     assert {(r.a, r.b) for r in links.collect()} == {(2, 1)}
     assert kept["bucket-rows"] == 6 and kept["candidate-rows"] == 2
+
+
+@pytest.mark.parametrize("bitmaps", [2048, 1])
+def test_rows_that_may_be_among_ids(spark, monkeypatch, bitmaps):
+    """Every row of an id gets through, whatever the ids; of the others few do while there are bits enough."""
+    monkeypatch.setattr(linking, "BITMAPS", bitmaps)
+    rows = spark.range(-50_000, 50_000).select(F.col("id") * 8589934592, F.lit("x").alias("a b")).toDF("id", "a b")
+    rows = rows.unionAll(rows.where("id % 3 = 0")).unionAll(spark.sql("SELECT CAST(NULL AS long), 'null'"))
+    ids = rows.where("id % 7 = 0 OR id IS NULL").select("id")
+    left = maybe_among(rows, ids)
+    assert left.columns == rows.columns
+    assert left.join(ids.distinct(), "id", "left_semi").count() == rows.join(ids.distinct(), "id", "left_semi").count()
+    assert left.count() < rows.count() * (0.35 if bitmaps > 1 else 0.75)
+    assert maybe_among(rows, ids.limit(0)).count() == 0
+    names = spark.createDataFrame([("a",), ("b",), (None,)], "id string")
+    assert {r.id for r in maybe_among(names, names.where("id = 'b'")).collect()} >= {"b"}
+
+
+def test_only_records_of_shared_buckets_travel(spark, scratch, monkeypatch):
+    """Records without a shared bucket are left out before the join with the buckets' rows."""
+    records = spark.range(2000).selectExpr("id", "id div 2 AS x")
+    buckets = spark.range(2000).selectExpr("CASE WHEN id < 10 THEN id div 2 ELSE id + 10000 END AS key", "id")
+    met = []
+
+    def counted(rows, ids):
+        left = maybe_among(rows, ids)
+        met.append(left.count())
+        return left
+
+    monkeypatch.setattr(linking, "maybe_among", counted)
+    links = link_buckets(buckets, records, lambda left, right: F.col(f"{left}.x") == F.col(f"{right}.x"), lambda ids: lambda pairs: pairs, scratch)
+    assert links.distinct().count() == 5
+    assert 10 <= met[0] < 100
