@@ -129,3 +129,12 @@ def test_only_records_of_shared_buckets_travel(spark, scratch, monkeypatch):
     links = link_buckets(buckets, records, lambda left, right: F.col(f"{left}.x") == F.col(f"{right}.x"), lambda ids: lambda pairs: pairs, scratch)
     assert links.distinct().count() == 5
     assert 10 <= met[0] < 100
+
+
+def test_rows_of_buckets_may_carry_the_records(spark, scratch):
+    rows = spark.range(300).selectExpr("id % 20 AS key", "id", "id div 40 AS x")
+    near = lambda left, right: F.col(f"{left}.x") == F.col(f"{right}.x")
+    apart = link_buckets(rows.select("key", "id"), rows.select("id", "x"), near, lambda ids: lambda pairs: pairs, scratch)
+    carried = link_buckets(rows, None, near, lambda ids: lambda pairs: pairs, scratch)
+    found = [{(r.id, r.component) for r in components(links, scratch).collect()} for links in (apart, carried)]
+    assert found[0] == found[1] and len(found[0]) == 280
